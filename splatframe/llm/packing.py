@@ -18,7 +18,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,10 +29,14 @@ RANK_GROUPS = 64
 CACHED_WORDS = 300_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
-#: The word pattern and special tokens of the word-level vocabulary file.
-WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-#: Outside these characters (and with a possible special token) the library normalises and splits the text.
+#: The word pattern and special tokens of the word-level vocabulary file. Texts with other than these
+#: characters (or with a possible special token) are normalised and split by the library; for these the classes of
+#: letters and digits are written out.
 UNUSUAL = re.compile(r"[^\t\n\r -~¡-ſ‐-‧€]|<\|")
+LETTERS, DIGITS = "a-zªµºß-öø-ÿĀ-ſ", "0-9²³¹¼-¾"
+WORDS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^\s{LETTERS}{DIGITS}]+")
+#: Characters of text whose new words are sent to the library in one call.
+CALL_CHARS = 1 << 20
 
 
 class WordIds(dict):
@@ -45,20 +48,38 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.last = np.zeros(self.tokenizer.get_vocab_size(), bool)  # ids that end a word
+        for token, i in self.tokenizer.get_vocab().items():
+            self.last[i] = token.endswith("</w>")
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        ids = self[word] = self.library(word)
-        return ids
-
-    def library(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    def library(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
 
-    def ids(self, text: str) -> bytes:
-        if UNUSUAL.search(text):
-            return self.library(text)
-        return b"".join([self[w] for w in WORDS.findall(unicodedata.normalize("NFC", text).lower())])
+    def learn(self, words: set[str]) -> None:
+        """Encodes words together, since none depends on its neighbours, and cuts the ids where words end."""
+        if len(self) + len(words) > CACHED_WORDS:
+            self.clear()
+        if new := [w for w in words if w not in self]:
+            ids = self.library(" ".join(new))
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(new):
+                raise ValueError("the vocabulary doesn't mark the ends of words")
+            data, at = ids.tobytes(), 0
+            for w, end in zip(new, (4 * ends).tolist(), strict=True):
+                self[w] = data[at:end]
+                at = end
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        out: list[bytes] = []
+        while len(out) < len(texts):
+            some, size = [], 0
+            while size < CALL_CHARS and len(out) + len(some) < len(texts):
+                text = texts[len(out) + len(some)]
+                size += len(text)
+                some.append(text if UNUSUAL.search(text) else WORDS.findall(unicodedata.normalize("NFC", text).lower()))
+            self.learn(set().union(*(x for x in some if isinstance(x, list))))
+            out += [self.library(x).tobytes() if isinstance(x, str) else b"".join(map(self.__getitem__, x)) for x in some]
+        return out
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -69,8 +90,8 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
         words = WordIds(tokenizer_path)
         for batch in batches:
             rows = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                data = memoryview(words.ids(text.as_py() or "") + tail)
+            for doc, ids in zip(batch.column(0).to_pylist(), words.ids([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+                data = memoryview(ids + tail)
                 for k, at in enumerate(range(0, len(data) // 4, capacity)):
                     cut = data[4 * at : 4 * (at + capacity)]
                     rows.append((doc, k, at, len(cut) // 4, zlib.crc32(cut)))
