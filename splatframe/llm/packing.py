@@ -11,6 +11,7 @@ an empty result. Only the id and text columns are read.
 
 from __future__ import annotations
 
+import functools
 import re
 import unicodedata
 import zlib
@@ -25,8 +26,8 @@ from splatframe.llm.common import table, written
 
 CAPACITY, END_ID = 4096, 1
 #: Hash groups in which pieces of one length are numbered, so that a common length is not numbered by one task.
-RANK_GROUPS = 64
-CACHED_WORDS = 300_000
+RANK_GROUPS = 16
+CACHED_WORDS = 600_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 #: The word pattern and special tokens of the word-level vocabulary file. Texts with other than these
@@ -82,12 +83,18 @@ class WordIds(dict):
         return out
 
 
+@functools.cache
+def word_ids(path: str) -> WordIds:
+    """One for each Python worker, which keeps what it has learnt from task to task."""
+    return WordIds(path)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
     """One row per piece: each text's ids and the end id, cut at `capacity` only where longer."""
     tail = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         for batch in batches:
             rows = []
             for doc, ids in zip(batch.column(0).to_pylist(), words.ids([t or "" for t in batch.column(1).to_pylist()]), strict=True):
