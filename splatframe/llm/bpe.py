@@ -13,6 +13,7 @@ Null and empty texts have no tokens. Special tokens' strings in a text become th
 from __future__ import annotations
 
 import codecs
+import functools
 import hashlib
 import json
 import re
@@ -20,17 +21,17 @@ from collections.abc import Iterable, Iterator
 from itertools import chain, islice
 
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splatframe.llm.common import table
 
 CACHED = 400_000
-#: Fixed value: the byte-level pre-token pattern.
-PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-#: Outside these characters the library splits the text, since engines differ on rare classes.
+#: Outside these characters the library splits the text, since engines differ on rare classes; for these the classes
+#: of letters and digits are written out. Fixed value: the byte-level pre-token pattern.
 UNUSUAL = re.compile(r"[^\t\n\r -~¡-ſ‐-‧€]")
+LETTERS, DIGITS = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
+PRE_TOKENS = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[{DIGITS}]+| ?[^\s{LETTERS}{DIGITS}]+|\s+(?!\S)|\s+")
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
@@ -60,7 +61,14 @@ class Transducer:
         self.longest = {}
         for b in self.ids:
             self.longest[b[-1]] = max(self.longest.get(b[-1], 0), len(b))
+        self.from_four = {}  # the longest token that starts so
+        for b in self.ids:
+            if len(b) >= 4:
+                self.from_four[b[:4]] = max(self.from_four.get(b[:4], 0), len(b))
         self.fits: dict[tuple[int, int], bool] = {}
+        #: Token -> (when the merge list makes it, its left part, its right part); bytes are there from the start.
+        self.made = {made: (rank, a, b) for (a, b), (rank, made) in self.ranks.items()} | {i: (-1, i, i) for i in self.single}
+        self.alone = {i: self.merged(b) == [i] for i, b in self.token_bytes.items()}
         self.cache: dict[str, tuple[int, ...]] = {}
         self.decoded_bytes = self.token_bytes | {i: s.encode() for s, i in self.special.items()}
         self._library = None
@@ -77,10 +85,27 @@ class Transducer:
         return out
 
     def compatible(self, a: int, b: int) -> bool:
-        if (known := self.fits.get((a, b))) is None:
-            if len(self.fits) >= 4 * CACHED:
-                self.fits.clear()
-            known = self.fits[a, b] = self.merged(self.token_bytes[a] + self.token_bytes[b]) == [a, b]
+        """Whether the merge list leaves the pair as it is: undoing its merges, latest first, on the two sides, no
+        two parts that meet at the border may have a merge of their own that comes before the one undone last."""
+        if (known := self.fits.get((a, b))) is not None:
+            return known
+        if len(self.fits) >= 4 * CACHED:
+            self.fits.clear()
+        left, right, made, ranks, known = a, b, self.made, self.ranks, True
+        limit = (1 << 60, 0)
+        while True:
+            meet = ranks.get((left, right))
+            if meet and (meet[0], 0) < limit:
+                known = False
+                break
+            x, y = made[left], made[right]
+            if x[0] < 0 and y[0] < 0:
+                break
+            if x[0] > y[0]:  # a merge at the border wins over one to its right, and loses to one to its left
+                limit, left = (x[0], 0), x[2]
+            else:
+                limit, right = (y[0], 1), y[1]
+        self.fits[a, b] = known
         return known
 
     def stream(self, data: Iterable[int]) -> Iterator[int]:
@@ -96,7 +121,7 @@ class Transducer:
                 token = self.ids.get(bytes(window[-size:]))
                 if token is None or start < base or (start != base and start not in last):
                     continue
-                if self.compatible(last[start][0], token) if start in last else self.merged(self.token_bytes[token]) == [token]:
+                if self.compatible(last[start][0], token) if start in last else self.alone[token]:
                     last[end] = (token, start)
                     break
             if end - base > 4 * self.lookahead:
@@ -115,6 +140,28 @@ class Transducer:
             rest.append(token)
         yield from reversed(rest)
 
+    def within(self, data: bytes) -> list[int]:
+        """stream() for what the lookahead spans whole: the chain is found from the left, longest tokens first; the
+        encoding of each prefix is one chain only, so an end from which no chain went on is not tried again."""
+        out: list[int] = []
+        at, n, size, dead = 0, len(data), 0, set()
+        ids, most = self.ids, self.from_four
+        while at < n:
+            size = size or min(n - at, most.get(data[at : at + 4], 3))
+            while size > 0:
+                token = ids.get(data[at : at + size])
+                if token is not None and at + size not in dead and (not out or self.compatible(out[-1], token)):
+                    break
+                size -= 1
+            if size > 0:
+                out.append(token)
+                at, size = at + size, 0
+            else:
+                dead.add(at)
+                size = len(self.token_bytes[out.pop()])
+                at, size = at - size, size - 1 or -1
+        return out
+
     def _stable(self, last: dict[int, tuple[int, int]], base: int, end: int) -> list[int]:
         """Ends of the tokens that the chains of all live states share, from base on."""
         shared: set[int] | None = None
@@ -140,7 +187,8 @@ class Transducer:
 
     def __getitem__(self, piece: str | bytes) -> tuple[int, ...]:
         if (known := self.cache.get(piece)) is None:
-            known = tuple(self.stream(piece if isinstance(piece, bytes) else piece.encode()))
+            data = piece if isinstance(piece, bytes) else piece.encode()
+            known = tuple(self.within(data) if len(data) <= self.lookahead else self.stream(data))
             if len(piece) <= 64:
                 if len(self.cache) >= CACHED:
                     self.cache.clear()
@@ -168,11 +216,17 @@ class Transducer:
         yield machine.decode(b"", True)
 
 
+@functools.cache
+def transducer(path: str) -> Transducer:
+    """One for each Python worker, which keeps its cache from task to task."""
+    return Transducer(path)
+
+
 def digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """Per document: number of tokens, digest of its ids and of the text decoded from them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Transducer(tokenizer_path)
+        bpe = transducer(tokenizer_path)
         names = [str(i) for i in range(1 + max(bpe.decoded_bytes))]
         for batch in batches:
             n, a, b = [], [], []
@@ -193,7 +247,7 @@ def encode_documents(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """(doc_id, ids): the token ids themselves."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Transducer(tokenizer_path)
+        bpe = transducer(tokenizer_path)
         for batch in batches:
             ids = [bpe.encode(t.as_py() or "") for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
@@ -205,7 +259,7 @@ def decode_documents(encoded: DataFrame, tokenizer_path: str) -> DataFrame:
     """(doc_id, text) from (doc_id, ids); null ids give an empty text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = Transducer(tokenizer_path)
+        bpe = transducer(tokenizer_path)
         for batch in batches:
             texts = ["".join(bpe.decode(ids.as_py() or [])) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["doc_id", "text"])

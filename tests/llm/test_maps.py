@@ -53,6 +53,8 @@ def test_transducer_streams_long_pre_tokens_in_constant_memory():
             late.append(fed[0] - done)
         assert out == library.encode(text, add_special_tokens=False).ids
         assert max(late) <= 8 * machine.lookahead
+        for a in range(0, 6000, 90):
+            assert machine.within(text[a : a + 90].encode()) == list(machine.stream(text[a : a + 90].encode()))
 
 
 def test_bad_bytes_decode_as_the_library_does():
