@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from splatframe.llm import audio, bpe, packing, secrets, sharding, topk
+from splatframe.llm import audio, bpe, minhash, packing, secrets, sharding, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_audio_features": audio.query,
@@ -14,7 +14,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_sharding": sharding.query,
     "op5_best_fit_packing": packing.query,
     "op7_bpe_round_trip": bpe.query,
+    "op9_minhash_near_dedup": minhash.query,
     "op10_secret_scan": secrets.query,
 }
 
-ORACLE_SQL: dict[str, str] = {"op2_exact_top_k": topk.ORACLE_SQL}
+ORACLE_SQL: dict[str, str] = {"op2_exact_top_k": topk.ORACLE_SQL, "op9_minhash_near_dedup": minhash.ORACLE_SQL}
