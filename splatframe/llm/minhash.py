@@ -8,8 +8,9 @@ with probability 4e-9.
 
 Documents with equal sets are one class from the start. Classes in one band are not paired with each other
 wholesale: in a few star rounds each class meets one candidate of another component, links found join components, and
-only classes of one band that are still in different components are then paired, so a group that hangs together costs
-pairs in proportion to its size. Every link counts only after comparing the full sets of both texts.
+only classes of one band that are still in different components are then paired (in large bands only where their rare
+shingles meet, or their other shingles are enough for a link). So a group that hangs together costs pairs in
+proportion to its size. Every link counts only after comparing the full sets of both texts.
 
 Words are runs of anything but space and bytes 9-13, A-Z lowered. With fewer words than a shingle has, the whole
 sequence is the one shingle; null, empty and blank texts have none and are linked with nothing. Rows that share an id
@@ -34,6 +35,8 @@ from splatframe.llm.common import components, splitmix, table, text_bytes, writt
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 56, 6
 STAR_ROUNDS = 3
+#: Nodes of a band that are paired outright, and nodes that a rare shingle has at most; either way no link is lost.
+FEW, RARE = 32, 8
 CACHED_WORDS = 600_000
 _ROUNDS = splitmix(np.arange(2 * BANDS * ROWS, dtype=np.uint64) + np.uint64(1))
 
@@ -138,6 +141,42 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int = PERC
     return with_b.join(texts.select(F.col("node").alias("a"), F.col("z").alias("za")), "a").mapInArrow(run, "a long, b long")
 
 
+def shingle_rows(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """(node, shingle) of the given nodes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for node, z in zip(batch.column("node").to_pylist(), batch.column("z"), strict=True):
+                s = shingle_set(zstandard.decompress(z.as_py()).decode(), words)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(s), node)), pa.array(s.view(np.int64))], ["node", "shingle"])
+
+    return texts.join(nodes, "node", "left_semi").select("node", "z").mapInArrow(run, "node long, shingle long")
+
+
+def last_pairs(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b): every pair in one band but different components that can be a link; rows: (key, node, n, component).
+
+    Bands of few nodes pair all of them. In large ones two sets either share a shingle that at most RARE of these
+    nodes have, and are found by it, or share no more than either has of the other shingles, which has to be enough.
+    """
+    fits = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
+    rows = written(rows.join(rows.groupBy("key").agg(F.count("*").alias("in_key")), "key"))
+    right = lambda df: df.select("key", *[F.col(c).alias(f"{c}_b") for c in df.columns if c not in ("key", "in_key")])
+    apart = F.col("component") < F.col("component_b")
+    few, many = rows.filter(F.col("in_key") <= FEW), rows.filter(F.col("in_key") > FEW)
+    pairs = few.join(right(few), "key").filter(apart & fits(F.col("n"), F.col("n_b"))).select("node", "node_b")
+    nodes = written(many.select("node", "n", "component").distinct())
+    each = written(shingle_rows(texts, nodes.select("node"), words))
+    rare = each.groupBy("shingle").count().filter(F.col("count") <= RARE).select("shingle")
+    rarely = written(each.join(rare, "shingle").join(nodes, "node"))
+    counts = rarely.groupBy("node").agg(F.count("*").alias("rare"))
+    capped = many.join(counts, "node", "left").withColumn("cap", F.col("n") - F.coalesce("rare", F.lit(0)))
+    enough = (100 + percent) * F.least("cap", "cap_b") >= percent * (F.col("n") + F.col("n_b"))
+    pairs = pairs.union(capped.select("key", "node", "n", "component", "cap").join(right(capped.select("key", "node", "n", "component", "cap")), "key").filter(apart & fits(F.col("n"), F.col("n_b")) & enough).select("node", "node_b"))
+    shared = rarely.join(rarely.select("shingle", F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("component").alias("component_b")), "shingle")
+    return pairs.union(shared.filter(apart & fits(F.col("n"), F.col("n_b"))).select("node", "node_b")).distinct().toDF("a", "b")
+
+
 def near_links(docs: DataFrame, words: int, percent: int = PERCENT, n_bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, node) of every row, node being the smallest id with the same set (null without
     shingles); and (node, component) of the nodes that have a link to another."""
@@ -152,9 +191,12 @@ def near_links(docs: DataFrame, words: int, percent: int = PERCENT, n_bands: int
     fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     links = joined = tested = None
     # rows that share an id but not the set: a node of several classes needs no link of its own
+    crowd = near.groupBy("key").agg(F.count("*").alias("crowd"))
+    weight = near.join(crowd, "key").groupBy("node").agg(F.sum("crowd").alias("weight"))  # central documents share most
+    near = written(near.join(weight, "node"))
     for star in range(STAR_ROUNDS + 1):
         rows_ = near.withColumn("component", F.col("node")) if joined is None else near.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        split = rows_.groupBy("key").agg(F.min(F.struct("component", "node", "n")).alias("head"), F.max("component").alias("last")).filter("head.component < last")
+        split = rows_.groupBy("key").agg(F.max(F.struct("weight", "node", "n", "component")).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")
         if star < STAR_ROUNDS:
             met = rows_.join(split, "key").filter("component <> head.component").select(F.col("node").alias("a"), F.col("head.node").alias("b"), "n", F.col("head.n").alias("m")).filter(fits)
             votes = met.groupBy("a", "b").count()
@@ -162,9 +204,7 @@ def near_links(docs: DataFrame, words: int, percent: int = PERCENT, n_bands: int
                 votes = votes.join(tested, ["a", "b"], "left_anti")
             pairs = votes.groupBy("a").agg(F.max(F.struct("count", "b")).alias("best")).select("a", F.col("best.b").alias("b"))
         else:
-            open_rows = rows_.join(split.select("key"), "key").select("key", "node", "n", "component").distinct()
-            other = open_rows.select("key", F.col("node").alias("b"), F.col("n").alias("m"), F.col("component").alias("c"))
-            pairs = open_rows.join(other, "key").filter(F.col("component") < F.col("c")).filter(fits).select(F.col("node").alias("a"), "b").distinct()
+            pairs = last_pairs(rows_.join(split.select("key"), "key").select("key", "node", "n", "component").distinct(), texts, words, percent)
             pairs = pairs.join(tested.select("a", "b").union(tested.select("b", "a")), ["a", "b"], "left_anti")
         pairs = written(pairs)
         found = written(verified(pairs, texts, words, percent))
