@@ -40,7 +40,15 @@ def written(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = scratch_dir(spark)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table of written() that nothing reads any more."""
+    path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch_path)
+    path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:
@@ -161,15 +169,17 @@ def ask(blocks: DataFrame, keys: Keys, shards: int) -> DataFrame:
 
 
 def totals(asked: DataFrame) -> DataFrame:
-    """(block, shard, totals): for each block's keys, in their order, the count over all blocks."""
+    """(block, shard, totals): for each block's keys, in their order, twice the count over all blocks, plus 1 for the
+    one block that is elected to speak for the key. A shard is sorted alone, so memory is bounded by its size."""
 
     def run(group: pa.Table) -> pa.Table:
         parts = [unpack_sorted(x) for x in group.column("keys").to_pylist()]
         counts = np.concatenate([unpack_ints(x) for x in group.column("counts").to_pylist()])
-        uniq, inverse = np.unique(np.concatenate(parts), return_inverse=True)
+        uniq, first, inverse = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
         total = np.zeros(len(uniq), np.uint64)
         np.add.at(total, inverse, counts)
-        back, at, out = total[inverse], 0, []
+        back, at, out = 2 * total[inverse], 0, []
+        back[first] += np.uint64(1)
         for p in parts:
             out.append(pack_ints(back[at : at + len(p)]))
             at += len(p)

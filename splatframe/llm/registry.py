@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from splatframe.llm import audio, bpe, minhash, packing, secrets, sharding, topk
+from splatframe.llm import audio, bpe, minhash, packing, secrets, sharding, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_audio_features": audio.query,
     "op2_exact_top_k": topk.query,
     "op4_sharding": sharding.query,
     "op5_best_fit_packing": packing.query,
+    "op6_suffix_array_dedup": suffixes.query,
     "op7_bpe_round_trip": bpe.query,
     "op9_minhash_near_dedup": minhash.query,
     "op10_secret_scan": secrets.query,
