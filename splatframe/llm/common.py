@@ -93,6 +93,10 @@ def unpack_ints(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint64).ravel()
 
 
+def unpack_all(parts: list[bytes]) -> np.ndarray:
+    return np.concatenate([unpack_ints(x) for x in parts]) if parts else np.zeros(0, np.uint64)
+
+
 # ---------------------------------------------------------------- blocks of documents
 
 
@@ -188,13 +192,14 @@ def totals(asked: DataFrame) -> DataFrame:
     return asked.groupBy("shard").applyInArrow(run, "block string, shard int, totals binary")
 
 
-def answered(blocks: DataFrame, totals_: DataFrame, use: Callable[[pa.Table, np.ndarray, str], pa.Table], schema: str, value: str = "totals") -> DataFrame:
+def answered(blocks: DataFrame, totals_: DataFrame, use: Callable[[pa.Table, np.ndarray, str], pa.Table], schema: str, unpack: Callable | None = None) -> DataFrame:
     """Brings each block's totals back to its rows; use(rows, totals in the order of the block's sorted keys, block)."""
+    unpack = unpack or unpack_all
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         order = np.argsort(np.asarray(right.column("shard"))) if right.num_rows else []
-        got = right.column(value).to_pylist() if right.num_rows else []
-        flat = np.concatenate([unpack_ints(got[i]) for i in order]) if len(order) else np.zeros(0, np.uint64)
+        got = right.column("totals").to_pylist() if right.num_rows else []
+        flat = unpack([got[i] for i in order])
         return pa.concat_tables([use(open_block(p), flat, b) for b, p in zip(left.column("block").to_pylist(), left.column("payload").to_pylist(), strict=True)])
 
     return blocks.select("block", "payload").groupBy("block").cogroup(totals_.groupBy("block")).applyInArrow(run, schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from splatframe.llm import audio, bpe, lm, minhash, packing, secrets, sharding, suffixes, topk
+from splatframe.llm import audio, bpe, kneser_ney, lm, minhash, packing, secrets, sharding, suffixes, topk
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_audio_features": audio.query,
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_best_fit_packing": packing.query,
     "op6_suffix_array_dedup": suffixes.query,
     "op7_bpe_round_trip": bpe.query,
+    "op8_quality_classifier": kneser_ney.query,
     "op9_minhash_near_dedup": minhash.query,
     "op10_secret_scan": secrets.query,
 }
