@@ -63,6 +63,28 @@ def splitmix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """np.unique() of well-mixed uint64 keys: distinct keys, their first places, each key's group, the groups' sizes.
+
+    Sorts the keys' high bits together with their places as one number, and falls back where high bits collide.
+    """
+    bits = np.uint64(max(1, len(keys).bit_length()))
+    low = np.uint64((1 << int(bits)) - 1)
+    both = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    place = (both & low).astype(np.int64)
+    both >>= bits
+    new = np.ones(len(keys), bool)
+    np.not_equal(both[1:], both[:-1], out=new[1:])
+    ordered = keys[place]
+    if bool(((ordered[1:] != ordered[:-1]) & ~new[1:]).any()):
+        return np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
+    starts = np.flatnonzero(new)
+    inverse = np.empty(len(keys), np.int64)
+    inverse[place] = np.cumsum(new) - 1
+    return ordered[starts], place[starts], inverse, np.diff(np.append(starts, len(keys)))
+
+
 def text_bytes(text: str | None) -> bytes:
     """UTF-8; null counts as empty, and a lone surrogate as '?'."""
     return (text or "").encode("utf-8", "replace")
@@ -116,7 +138,7 @@ def to_blocks(docs: DataFrame, *columns: str, block_bytes: int = BLOCK_BYTES) ->
                 for b in held:
                     w.write_batch(b)
             return pa.RecordBatch.from_pydict(
-                {"block": [uuid.uuid4().hex], "n_docs": [sum(b.num_rows for b in held)], "n_bytes": [size], "payload": [zstandard.compress(out.getvalue(), 3)]},
+                {"block": [uuid.uuid4().hex], "n_docs": [sum(b.num_rows for b in held)], "n_bytes": [size], "payload": [zstandard.compress(out.getvalue(), 9)]},
                 schema=pa.schema([("block", pa.string()), ("n_docs", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())]),
             )
 
@@ -172,18 +194,20 @@ def ask(blocks: DataFrame, keys: Keys, shards: int) -> DataFrame:
     return blocks.select("block", "payload").mapInArrow(run, "block string, shard int, keys binary, counts binary")
 
 
-def totals(asked: DataFrame) -> DataFrame:
-    """(block, shard, totals): for each block's keys, in their order, twice the count over all blocks, plus 1 for the
-    one block that is elected to speak for the key. A shard is sorted alone, so memory is bounded by its size."""
+def totals(asked: DataFrame, elect: bool = False) -> DataFrame:
+    """(block, shard, totals): for each block's keys, in their order, twice the count over all blocks, plus 1 (if
+    asked for) for the one block that is elected to speak for the key. A shard is sorted alone, so memory is bounded
+    by its size."""
 
     def run(group: pa.Table) -> pa.Table:
         parts = [unpack_sorted(x) for x in group.column("keys").to_pylist()]
         counts = np.concatenate([unpack_ints(x) for x in group.column("counts").to_pylist()])
-        uniq, first, inverse = np.unique(np.concatenate(parts), return_index=True, return_inverse=True)
+        uniq, first, inverse, _ = grouped(np.concatenate(parts))
         total = np.zeros(len(uniq), np.uint64)
         np.add.at(total, inverse, counts)
         back, at, out = 2 * total[inverse], 0, []
-        back[first] += np.uint64(1)
+        if elect:
+            back[first] += np.uint64(1)
         for p in parts:
             out.append(pack_ints(back[at : at + len(p)]))
             at += len(p)

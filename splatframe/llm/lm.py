@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import answered, ask, shards_for, splitmix, table, text_bytes, to_blocks, totals
+from splatframe.llm.common import answered, ask, grouped, shards_for, splitmix, table, text_bytes, to_blocks, totals
 
 ORDER, ALPHA = 3, 0.4
 UNSEEN = 0.5
@@ -66,7 +66,7 @@ def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.ndar
 def block_keys(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
     _, keys = grams(texts, order)
     flat = np.concatenate(keys)
-    uniq, counts = np.unique(flat[flat != 0], return_counts=True)
+    uniq, _, _, counts = grouped(flat[flat != 0])
     at = np.searchsorted(uniq, ALL)
     return np.insert(uniq, at, ALL), np.insert(counts, at, len(keys[0]))
 
@@ -80,7 +80,7 @@ def scores(texts: list[str | None], keys: np.ndarray, total: np.ndarray, order:
     for key in by_length:
         at = np.where(key != 0, np.searchsorted(keys, key), len(keys))
         code = doc * (len(keys) + 1) + at
-        _, inverse, own = np.unique(code, return_inverse=True, return_counts=True)
+        _, _, inverse, own = grouped(splitmix(code))
         rest.append(np.where(key != 0, np.append(total, np.uint64(0))[at].astype(np.float64) - own[inverse], 0.0))
     one = rest[0]
     log = np.log(np.where(one > 0, one, UNSEEN) / np.maximum(n_all - words[doc], 1.0)) if len(one) else np.zeros(0)

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import answered, ask, discard, shards_for, table, text_bytes, to_blocks, totals, written
+from splatframe.llm.common import answered, ask, discard, grouped, shards_for, table, text_bytes, to_blocks, totals, written
 from splatframe.llm.cover import Fingerprints, difference_cover
 
 LENGTH = 400
@@ -75,8 +75,9 @@ def runs(mask: np.ndarray) -> np.ndarray:
 
 def distinct(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     if weights is None:
-        return np.unique(keys, return_counts=True)
-    uniq, inverse = np.unique(keys, return_inverse=True)
+        uniq, _, _, counts = grouped(keys)
+        return uniq, counts
+    uniq, _, inverse, _ = grouped(keys)
     return uniq, np.bincount(inverse, weights, len(uniq)).astype(np.uint64)
 
 
@@ -97,7 +98,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         t = texts_of(rows)
         at, of = t.samples(length)
         keys, whole = t.prints.of(at, need), t.whole()
-        known = np.unique(np.concatenate([keys, whole]))
+        known = grouped(np.concatenate([keys, whole]))[0]
         shared = at[total[np.searchsorted(known, keys)] >= 4]
         says = total[np.searchsorted(known, whole)]
         first = np.zeros(len(whole), bool)
@@ -129,7 +130,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def cut(rows: pa.Table, total: np.ndarray, block: str) -> pa.Table:
         t, at, weights = windows(rows)
         keys, speak = t.prints.of(at, length), weights > 0
-        known = np.unique(keys[speak])
+        known = grouped(keys[speak])[0]
         twice = ~speak  # a text with copies is removed whole
         twice[speak] = total[np.searchsorted(known, keys[speak])] >= 4
         edge = np.zeros(len(t.data) + 1, np.int32)
@@ -149,7 +150,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         return pa.table({"doc_id": rows.column("doc_id"), "n_bytes": pa.array(t.sizes), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": list(sha), "spans": pa.array(spans, span)})
 
     blocks = to_blocks(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", "text", block_bytes=BLOCK_BYTES)
-    ranks = totals(ask(blocks, sample_keys, shards_for(blocks, 0.07)))
+    ranks = totals(ask(blocks, sample_keys, shards_for(blocks, 0.07)), elect=True)
     rows = written(answered(blocks, ranks, candidates, "doc_id long, n_bytes long, sha256 string, weight long, places array<long>, text binary"))
     discard(blocks)
     open_ = to_blocks(rows.filter("text is not null"), "doc_id", "weight", "places", "text", block_bytes=BLOCK_BYTES // 3)
