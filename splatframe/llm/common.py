@@ -70,19 +70,23 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     """
     bits = np.uint64(max(1, len(keys).bit_length()))
     low = np.uint64((1 << int(bits)) - 1)
-    both = (keys & ~low) | np.arange(len(keys), dtype=np.uint64)
+    both = keys & ~low
+    both |= np.arange(len(keys), dtype=np.uint64)
     both.sort()
-    place = (both & low).astype(np.int64)
+    place = (both & low).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
     both >>= bits
     new = np.ones(len(keys), bool)
     np.not_equal(both[1:], both[:-1], out=new[1:])
+    del both
     ordered = keys[place]
     if bool(((ordered[1:] != ordered[:-1]) & ~new[1:]).any()):
         return np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
     starts = np.flatnonzero(new)
-    inverse = np.empty(len(keys), np.int64)
-    inverse[place] = np.cumsum(new) - 1
-    return ordered[starts], place[starts], inverse, np.diff(np.append(starts, len(keys)))
+    uniq, first = ordered[starts], place[starts]
+    del ordered
+    inverse = np.empty(len(keys), place.dtype)
+    inverse[place] = np.cumsum(new, dtype=place.dtype) - 1
+    return uniq, first, inverse, np.diff(np.append(starts, len(keys)))
 
 
 def text_bytes(text: str | None) -> bytes:

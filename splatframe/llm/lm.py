@@ -14,8 +14,6 @@ ids or texts repeat. An empty table gives an empty result.
 
 from __future__ import annotations
 
-import functools
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -26,32 +24,17 @@ from splatframe.llm.common import answered, ask, grouped, shards_for, splitmix,
 
 ORDER, ALPHA = 3, 0.4
 UNSEEN = 0.5
-CACHED_WORDS = 600_000
+BLOCK_BYTES = 12 << 20
 #: The key under which the number of words is counted.
 ALL = np.uint64(0x5851F42D4C957F2D)
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-@functools.cache
-def _hashes() -> WordHashes:
-    """One for each Python worker."""
-    return WordHashes()
-
-
 def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
     """Each word's document, and per length n the key of the n-gram that ends at the word (0: none)."""
-    found = [text_bytes(t).lower().split() for t in texts]
-    sizes = np.array([len(f) for f in found], np.int64)
-    hashes = _hashes()
-    w = np.fromiter((h for f in found for h in map(hashes.__getitem__, f)), np.uint64, int(sizes.sum()))
-    doc = np.repeat(np.arange(len(found)), sizes)
+    hashed = [np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) for words in (text_bytes(t).lower().split() for t in texts)]
+    sizes = np.array([len(h) for h in hashed], np.int64)
+    w = np.concatenate(hashed) if hashed else np.zeros(0, np.uint64)
+    doc = np.repeat(np.arange(len(hashed)), sizes)
     place = np.arange(len(w)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     out = []
     for n in range(1, order + 1):
@@ -63,46 +46,52 @@ def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.ndar
     return doc, out
 
 
-def block_keys(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
-    _, keys = grams(texts, order)
-    flat = np.concatenate(keys)
-    uniq, _, _, counts = grouped(flat[flat != 0])
-    at = np.searchsorted(uniq, ALL)
-    return np.insert(uniq, at, ALL), np.insert(counts, at, len(keys[0]))
-
-
-def scores(texts: list[str | None], keys: np.ndarray, total: np.ndarray, order: int, alpha: float) -> tuple[np.ndarray, np.ndarray]:
-    """Number of words and sum of log scores of each text; total: the corpus's counts of the sorted keys."""
-    doc, by_length = grams(texts, order)
-    words = np.bincount(doc, minlength=len(texts))
-    n_all = float(total[np.searchsorted(keys, ALL)])
-    rest = []  # counts in other documents, by length
-    for key in by_length:
-        at = np.where(key != 0, np.searchsorted(keys, key), len(keys))
-        code = doc * (len(keys) + 1) + at
-        _, _, inverse, own = grouped(splitmix(code))
-        rest.append(np.where(key != 0, np.append(total, np.uint64(0))[at].astype(np.float64) - own[inverse], 0.0))
-    one = rest[0]
-    log = np.log(np.where(one > 0, one, UNSEEN) / np.maximum(n_all - words[doc], 1.0)) if len(one) else np.zeros(0)
-    for n in range(2, order + 1):
-        seen, there = rest[n - 1] > 0, by_length[n - 1] != 0
-        context = np.concatenate([[0.0], rest[n - 2][:-1]]) if len(one) else one
-        log = np.where(seen, np.log(np.where(seen, rest[n - 1], 1.0) / np.where(seen, context, 1.0)), np.where(there, np.log(alpha) + log, log))
-    return words, np.bincount(doc, log, len(texts))
+class Block:
+    """A block's n-grams: sorted distinct keys (with the one for the number of words), their counts, and for each
+    word and length the place of its n-gram among the keys (-1: none)."""
+
+    def __init__(self, texts: list[str | None], order: int) -> None:
+        self.size = len(texts)
+        self.doc, keys = grams(texts, order)
+        flat = np.concatenate(keys)
+        there = flat != 0
+        uniq, _, inverse, counts = grouped(flat[there])
+        all_at = int(np.searchsorted(uniq, ALL))
+        self.keys, self.counts, self.all_at = np.insert(uniq, all_at, ALL), np.insert(counts, all_at, len(keys[0])), all_at
+        at = np.full(len(flat), -1, np.int64)
+        at[there] = inverse + (inverse >= all_at)
+        self.at = at.reshape(order, -1)
+
+    def scores(self, total: np.ndarray, alpha: float) -> tuple[np.ndarray, np.ndarray]:
+        """Number of words and sum of log scores of each text; total: the corpus's counts of the keys."""
+        words = np.bincount(self.doc, minlength=self.size)
+        if not len(self.doc):
+            return words, np.zeros(self.size)
+        rest = []  # counts in other documents, by length
+        for at in self.at:
+            _, _, inverse, own = grouped(splitmix((self.doc * (len(self.keys) + 1) + at).astype(np.uint64)))
+            rest.append(np.where(at >= 0, total[at].astype(np.float64) - own[inverse], 0.0))
+        one = rest[0]
+        log = np.log(np.where(one > 0, one, UNSEEN) / np.maximum(float(total[self.all_at]) - words[self.doc], 1.0))
+        for n in range(2, len(rest) + 1):
+            seen, there = rest[n - 1] > 0, self.at[n - 1] >= 0
+            context = np.concatenate([[0.0], rest[n - 2][:-1]])
+            log = np.where(seen, np.log(np.where(seen, rest[n - 1], 1.0) / np.where(seen, context, 1.0)), np.where(there, np.log(alpha) + log, log))
+        return words, np.bincount(self.doc, log, self.size)
 
 
 def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -> DataFrame:
     """(doc_id, n_words, log_score): sums over each document's words; log_score is null without words."""
 
     def keys_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        return block_keys(rows.column("text").to_pylist(), order)
+        b = Block(rows.column("text").to_pylist(), order)
+        return b.keys, b.counts
 
     def use(rows: pa.Table, total: np.ndarray, block: str) -> pa.Table:
-        texts = rows.column("text").to_pylist()
-        words, log = scores(texts, block_keys(texts, order)[0], total >> np.uint64(1), order, alpha)
+        words, log = Block(rows.column("text").to_pylist(), order).scores(total >> np.uint64(1), alpha)
         return pa.table({"doc_id": rows.column("doc_id"), "n_words": pa.array(words, pa.int64()), "log_score": pa.array(log, mask=words == 0)})
 
-    blocks = to_blocks(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", "text")
+    blocks = to_blocks(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", "text", block_bytes=BLOCK_BYTES)
     counts = totals(ask(blocks, keys_of, shards_for(blocks, 0.15 * order)))
     return answered(blocks, counts, use, "doc_id long, n_words long, log_score double")
 

@@ -37,31 +37,16 @@ BANDS, ROWS = 56, 6
 STAR_ROUNDS = 3
 #: Nodes of a band that are paired outright, and nodes that a rare shingle has at most; either way no link is lost.
 FEW, RARE = 32, 8
-CACHED_WORDS = 600_000
 _ROUNDS = splitmix(np.arange(2 * BANDS * ROWS, dtype=np.uint64) + np.uint64(1))
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-@functools.cache
-def _hashes() -> WordHashes:
-    """One for each Python worker."""
-    return WordHashes()
-
-
 def shingle_set(text: str | None, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles."""
     found = text_bytes(text).lower().split()
     if not found:
         return np.zeros(0, np.uint64)
     size = min(words, len(found))
-    w = np.fromiter(map(_hashes().__getitem__, found), np.uint64, len(found))
+    w = np.fromiter(map(xxhash.xxh3_64_intdigest, found), np.uint64, len(found))
     acc = np.full(len(w) - size + 1, size, np.uint64)
     for k in range(size):
         acc = splitmix(acc ^ w[k : len(w) - size + 1 + k])
