@@ -126,7 +126,7 @@ def unpack_all(parts: list[bytes]) -> np.ndarray:
 # ---------------------------------------------------------------- blocks of documents
 
 
-def to_blocks(docs: DataFrame, *columns: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def to_blocks(docs: DataFrame, *columns: str, block_bytes: int = BLOCK_BYTES, level: int = 9) -> DataFrame:
     """(block, n_docs, n_bytes, payload): rows of docs packed and compressed in the order read, without a shuffle.
 
     Written to the shared folder, so a block keeps its name and rows however often later steps read it.
@@ -142,7 +142,7 @@ def to_blocks(docs: DataFrame, *columns: str, block_bytes: int = BLOCK_BYTES) ->
                 for b in held:
                     w.write_batch(b)
             return pa.RecordBatch.from_pydict(
-                {"block": [uuid.uuid4().hex], "n_docs": [sum(b.num_rows for b in held)], "n_bytes": [size], "payload": [zstandard.compress(out.getvalue(), 9)]},
+                {"block": [uuid.uuid4().hex], "n_docs": [sum(b.num_rows for b in held)], "n_bytes": [size], "payload": [zstandard.compress(out.getvalue(), level)]},
                 schema=pa.schema([("block", pa.string()), ("n_docs", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())]),
             )
 
