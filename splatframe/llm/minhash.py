@@ -37,6 +37,8 @@ BANDS, ROWS = 56, 6
 STAR_ROUNDS = 3
 #: Nodes of a band that are paired outright, and nodes that a rare shingle has at most; either way no link is lost.
 FEW, RARE = 32, 8
+#: Hash parts by which the bound on what two sets share is summed.
+PARTS = 64
 _ROUNDS = splitmix(np.arange(2 * BANDS * ROWS, dtype=np.uint64) + np.uint64(1))
 
 
@@ -142,7 +144,8 @@ def last_pairs(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     """(a, b): every pair in one band but different components that can be a link; rows: (key, node, n, component).
 
     Bands of few nodes pair all of them. In large ones two sets either share a shingle that at most RARE of these
-    nodes have, and are found by it, or share no more than either has of the other shingles, which has to be enough.
+    nodes have, and are found by it, or share no more than the sum, over hash parts of the other shingles, of the
+    smaller of their numbers there, which has to be enough.
     """
     fits = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
     rows = written(rows.join(rows.groupBy("key").agg(F.count("*").alias("in_key")), "key"))
@@ -154,10 +157,12 @@ def last_pairs(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     each = written(shingle_rows(texts, nodes.select("node"), words))
     rare = each.groupBy("shingle").count().filter(F.col("count") <= RARE).select("shingle")
     rarely = written(each.join(rare, "shingle").join(nodes, "node"))
-    counts = rarely.groupBy("node").agg(F.count("*").alias("rare"))
-    capped = many.join(counts, "node", "left").withColumn("cap", F.col("n") - F.coalesce("rare", F.lit(0)))
-    enough = (100 + percent) * F.least("cap", "cap_b") >= percent * (F.col("n") + F.col("n_b"))
-    pairs = pairs.union(capped.select("key", "node", "n", "component", "cap").join(right(capped.select("key", "node", "n", "component", "cap")), "key").filter(apart & fits(F.col("n"), F.col("n_b")) & enough).select("node", "node_b"))
+    part = F.pmod(F.col("shingle"), F.lit(PARTS))
+    caps = each.join(rare, "shingle", "left_anti").groupBy("node").agg(F.array(*[F.count_if(part == k) for k in range(PARTS)]).alias("caps"))
+    capped = many.join(written(caps), "node").select("key", "node", "n", "component", "caps")
+    most = F.aggregate(F.zip_with("caps", "caps_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda a, x: a + x)
+    enough = (100 + percent) * most >= percent * (F.col("n") + F.col("n_b"))
+    pairs = pairs.union(capped.join(right(capped), "key").filter(apart & fits(F.col("n"), F.col("n_b")) & enough).select("node", "node_b"))
     shared = rarely.join(rarely.select("shingle", F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("component").alias("component_b")), "shingle")
     return pairs.union(shared.filter(apart & fits(F.col("n"), F.col("n_b"))).select("node", "node_b")).distinct().toDF("a", "b")
 
