@@ -1,7 +1,10 @@
 """Near-dedup, language models and the classifier against SQL or brute force on small tables."""
 
+import random
+
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from splatframe.llm import kneser_ney, lm, minhash
 
@@ -55,3 +58,26 @@ def test_classifier_without_labels_keeps_all(spark):
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     got = kneser_ney.judged(frame(spark), labels)
     assert got.count() == len(TEXTS) + 50 and got.filter("not kept").count() == 0
+
+
+def trusted_texts(spark, langs):
+    """(docs, labels): so many trusted documents of each language, each language with letters of its own."""
+    rnd, rows = random.Random(5), []
+    for k, (lang, n) in enumerate(langs.items()):
+        words = ["".join(chr(0x61 + 0x100 * k + rnd.randrange(20)) for _ in range(rnd.randrange(2, 9))) for _ in range(60)]
+        rows += [(1000 * k + i, " ".join(rnd.choices(words, k=30)), lang) for i in range(n)]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame([(r[0], 1, 0) for r in rows], "doc_id long, quality int, toxic int")
+
+
+def test_rare_language_gets_its_own_model(spark):
+    docs, labels = trusted_texts(spark, {"en": 800, "xx": 40, "yy": 39})
+    got = kneser_ney.judged(docs, labels, sample=100).toPandas()
+    assert got.groupby("doc_id").lang.first().pipe(lambda x: x.groupby(x.index // 1000).unique().map(list).tolist()) == [["en"], ["xx"], ["*"]]
+    assert got[got.lang == "xx"].kept.mean() > 0.9
+
+
+def test_shared_threshold_is_of_the_shared_model(spark):
+    docs, labels = trusted_texts(spark, {"en": 300, "yy": 30})
+    own = kneser_ney.judged(docs, labels, sample=200, quantile=0.5).filter("lang = '*'").toPandas().set_index("doc_id").sort_index()
+    every = kneser_ney.judged(docs.withColumn("lang", F.lit(None).cast("string")), labels, sample=200, quantile=0.5).toPandas().set_index("doc_id").loc[own.index]
+    assert len(own) == 30 and (own.threshold - every.threshold).abs().max() < 1e-6
