@@ -81,3 +81,18 @@ def test_shared_threshold_is_of_the_shared_model(spark):
     own = kneser_ney.judged(docs, labels, sample=200, quantile=0.5).filter("lang = '*'").toPandas().set_index("doc_id").sort_index()
     every = kneser_ney.judged(docs.withColumn("lang", F.lit(None).cast("string")), labels, sample=200, quantile=0.5).toPandas().set_index("doc_id").loc[own.index]
     assert len(own) == 30 and (own.threshold - every.threshold).abs().max() < 1e-6
+
+
+def test_thresholds_cover_all_trusted_documents(spark):
+    docs, labels = trusted_texts(spark, {"en": 800})
+    got = kneser_ney.judged(docs, labels, sample=100, quantile=1.0, margin=1e-9)
+    assert got.filter("not kept").count() == 0
+
+
+@pytest.mark.parametrize("q", [0.0, 0.5, 0.995, 1.0])
+def test_quantiles_are_exact(spark, q):
+    rnd = random.Random(1)
+    found = [("a", rnd.gauss(2, 0.01)) for _ in range(500)] + [("b", float(rnd.randrange(3))) for _ in range(100)] + [("c", -1.5)]
+    df = spark.createDataFrame(found, "lang string, value double")
+    want = {r.lang: r.v for r in df.groupBy("lang").agg(F.percentile("value", F.lit(q)).alias("v")).collect()}
+    assert kneser_ney.quantiles(df, q) == pytest.approx(want, abs=1e-12)
