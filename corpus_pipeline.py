@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir) and works on all rows of docs, the result of the stage before; all but the last
 return the columns of documents. Near-duplicates are texts whose sets of five-word shingles are similar to 0.8 or
 more; one document of each group stays. Repeated byte strings of 400 or more are cut out of texts wherever they occur,
-and secrets are replaced by a mark. Documents emptied by that stay, as empty texts.
+and secrets are replaced by a mark. Documents emptied by that stay, as empty texts. Rows may be repeated or share a
+doc_id: every stage takes each row by itself.
 """
 
 from __future__ import annotations
@@ -19,8 +20,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    gone = minhash.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    return minhash.without_near_duplicates(docs)
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

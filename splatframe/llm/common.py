@@ -51,6 +51,14 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def with_row_key(docs: DataFrame) -> DataFrame:
+    """docs with a column _row that no two rows share: doc_id where it does that, else a number written with the rows."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("_row"))
+    if ids.groupBy("_row").count().filter("count > 1 or _row is null").isEmpty():
+        return docs.withColumn("_row", F.col("doc_id").cast("long"))
+    return written(docs.withColumn("_row", F.monotonically_increasing_id()))
+
+
 def splitmix(x: np.ndarray) -> np.ndarray:
     """SplitMix64's finaliser: a bijection of uint64 values."""
     x = x.astype(np.uint64, copy=True)

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import components, splitmix, table, text_bytes, written
+from splatframe.llm.common import components, splitmix, table, text_bytes, with_row_key, written
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 56, 6
@@ -211,6 +211,16 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+    """docs with one row of each component, that of the smallest doc_id; repeated rows are rows like others."""
+    keyed = with_row_key(docs)
+    found = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias("_row"), "component_id")
+    found = written(found.join(keyed.select("_row", F.col("doc_id").cast("long").alias("id")), "_row"))
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row"))["_row"].alias("_row"))
+    gone = found.select("_row").join(first, "_row", "left_anti")
+    return keyed.join(gone, "_row", "left_anti").select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
 

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import answered, ask, discard, grouped, shards_for, table, text_bytes, to_blocks, totals, written
+from splatframe.llm.common import answered, ask, discard, grouped, shards_for, table, text_bytes, to_blocks, totals, with_row_key, written
 from splatframe.llm.cover import Fingerprints, difference_cover
 
 LENGTH = 400
@@ -160,13 +160,14 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """docs with every repeated span cut out of text, and n_chars (if any) set anew; needs distinct doc_ids.
+    """docs with every repeated span cut out of text, and n_chars (if any) set anew, whether or not rows share a doc_id.
 
     Of a string that occurs several times the occurrences in the row with the smallest doc_id are not spared: as in
     remove_repeats(), every occurrence goes. Characters cut in part by a span go whole.
     """
-    spans = remove_repeats(docs, length).filter("n_removed > 0").select("doc_id", F.col("spans").alias("_spans"))
-    joined = docs.join(spans, "doc_id", "left")
+    keyed = with_row_key(docs)
+    spans = remove_repeats(keyed.select(F.col("_row").alias("doc_id"), "text"), length).filter("n_removed > 0").select(F.col("doc_id").alias("_row"), F.col("spans").alias("_spans"))
+    joined = keyed.join(spans, "_row", "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
