@@ -137,13 +137,24 @@ def palette_lookup(labels: DataFrame, palette: DataFrame, width: int) -> DataFra
     return joined.withColumn("out_of_range", F.col("_hit").isNull()).withColumn("rest", F.coalesce("rest", zero)).drop("_hit")
 
 
-def compare(a: DataFrame, b: DataFrame, tolerance: float = 1e-6) -> DataFrame:
-    """(asset_id, gidx, field): fields that differ, rotations up to sign; field missing: the row is on one side only."""
+def compare(a: DataFrame, b: DataFrame, tolerance: float = 1e-6, extent_tolerance: float = 1e-5) -> DataFrame:
+    """(asset_id, gidx, field): fields that differ, rotations up to sign; field missing: the row is on one side only;
+    rest: its length or a coefficient differs; extent, without gidx: the bounds of an asset with as many rows on both
+    sides differ, or can be computed on one side only."""
     pair = a.alias("a").join(b.alias("b"), ["asset_id", "gidx"], "full")
     off = lambda f: F.abs(F.col(f"a.{f}") - F.col(f"b.{f}")) > tolerance
     some = lambda fs: ~_all([~F.coalesce(off(f), F.lit(True)) for f in fs])
     q = K.align_sign([F.col(f"a.rotation.{k}") for k in "wijk"], [F.col(f"b.rotation.{k}") for k in "wijk"])
     turned = ~_all([F.coalesce(F.abs(c - F.col(f"b.rotation.{k}")) <= tolerance, F.lit(False)) for c, k in zip(q, "wijk", strict=True)])
     missing = F.col("a.opacity").isNull() | F.col("b.opacity").isNull()
-    fields = [F.when(missing, F.lit("missing")), *[F.when(~missing & some([f"{n}.{k}" for k in ks]), F.lit(n)) for n, ks in (("position", AXES), ("scale", AXES), ("dc", "rgb"))], F.when(~missing & some(["opacity"]), F.lit("opacity")), F.when(~missing & turned, F.lit("rotation"))]
-    return pair.select("asset_id", "gidx", F.explode(F.filter(F.array(*fields), lambda f: f.isNotNull())).alias("field"))
+    length = lambda side: F.when(F.col(f"{side}.rest").isNull(), F.lit(0)).otherwise(F.size(f"{side}.rest"))
+    near = F.zip_with("a.rest", "b.rest", lambda x, y: _all([F.coalesce(F.abs(x[k] - y[k]) <= tolerance, F.lit(False)) for k in "rgb"]))
+    rest = (length("a") != length("b")) | ~F.coalesce(F.forall(near, lambda c: c), F.lit(True))
+    fields = [F.when(missing, F.lit("missing")), *[F.when(~missing & some([f"{n}.{k}" for k in ks]), F.lit(n)) for n, ks in (("position", AXES), ("scale", AXES), ("dc", "rgb"))], F.when(~missing & some(["opacity"]), F.lit("opacity")), F.when(~missing & turned, F.lit("rotation")), F.when(~missing & rest, F.lit("rest"))]
+    found = pair.select("asset_id", "gidx", F.explode(F.filter(F.array(*fields), lambda f: f.isNotNull())).alias("field"))
+    bounds = [f"{m}_{x}" for m in ("min", "max") for x in AXES]
+    sides = [extent(c, "asset_id").join(c.groupBy("asset_id").agg(F.count("*").alias("n")), "asset_id") for c in (a, b)]
+    both = sides[0].alias("a").join(sides[1].alias("b"), "asset_id").filter("a.n = b.n")
+    close = _all([F.coalesce(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")) <= extent_tolerance, F.lit(False)) for c in bounds])
+    moved = F.when(F.col("a.overflow") | F.col("b.overflow"), F.col("a.overflow") != F.col("b.overflow")).otherwise(~close)
+    return found.unionByName(both.filter(moved).select("asset_id", F.lit(None).cast(a.schema["gidx"].dataType).alias("gidx"), F.lit("extent").alias("field")))

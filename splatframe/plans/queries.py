@@ -276,6 +276,13 @@ def _(spark, d):
     return C.compare(a, b)
 
 
+@query("j04_compare_rest", "SELECT asset_id, gidx, 'rest' AS field FROM c WHERE gidx % 17 = 3 OR gidx % 19 = 4")
+def _(spark, d):
+    a = cloud(spark, d)
+    last = F.transform("rest", lambda c, i: F.when(i == F.size("rest") - 1, c.withField("b", c["b"] + 0.5)).otherwise(c))
+    return C.compare(a, a.withColumn("rest", F.when(F.col("gidx") % 17 == 3, last).when(F.col("gidx") % 19 == 4, K.cap_rest(F.col("rest"), F.lit(2))).otherwise(F.col("rest"))))
+
+
 @query("j05_catalog_anti", "SELECT c_custkey AS code FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)", raw=False)
 def _(spark, d):
     codes, seen = spark.read.parquet(f"{d}/customer.parquet"), spark.read.parquet(f"{d}/orders.parquet")
@@ -287,6 +294,17 @@ def _(spark, d):
     return spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("code")).subtract(spark.read.parquet(f"{d}/orders.parquet").select("o_custkey"))
 
 
+@query("j05_catalog_anti_back", "SELECT DISTINCT o_custkey AS code FROM orders WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey % 5 <> 0 AND c_custkey = o_custkey)", raw=False)
+def _(spark, d):
+    codes, seen = spark.read.parquet(f"{d}/customer.parquet").filter("c_custkey % 5 <> 0"), spark.read.parquet(f"{d}/orders.parquet")
+    return seen.join(codes, F.col("o_custkey") == F.col("c_custkey"), "left_anti").select(F.col("o_custkey").alias("code")).distinct()
+
+
+@query("u01_difference_back", "SELECT o_custkey AS code FROM orders EXCEPT SELECT c_custkey FROM customer WHERE c_custkey % 5 <> 0", raw=False)
+def _(spark, d):
+    return spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_custkey").alias("code")).subtract(spark.read.parquet(f"{d}/customer.parquet").filter("c_custkey % 5 <> 0").select("c_custkey"))
+
+
 @query("u03_set_update", "SELECT c_custkey AS code FROM customer UNION SELECT o_custkey FROM orders", raw=False)
 def _(spark, d):
     return spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("code")).union(spark.read.parquet(f"{d}/orders.parquet").select("o_custkey")).distinct()
