@@ -208,12 +208,15 @@ def ask(blocks: DataFrame, keys: Keys, shards: int) -> DataFrame:
 
 def totals(asked: DataFrame, elect: bool = False) -> DataFrame:
     """(block, shard, totals): for each block's keys, in their order, twice the count over all blocks, plus 1 (if
-    asked for) for the one block that is elected to speak for the key. A shard is sorted alone, so memory is bounded
-    by its size."""
+    asked for) for the one block that is elected to speak for the key: that of the smallest name, so a shard that is
+    computed again elects the same. A shard is sorted alone, so memory is bounded by its size."""
 
     def run(group: pa.Table) -> pa.Table:
-        parts = [unpack_sorted(x) for x in group.column("keys").to_pylist()]
-        counts = np.concatenate([unpack_ints(x) for x in group.column("counts").to_pylist()])
+        names, asked_, seen = (group.column(c).to_pylist() for c in ("block", "keys", "counts"))
+        order = sorted(range(len(names)), key=names.__getitem__)  # not that of arrival, which changes from run to run
+        parts = [unpack_sorted(asked_[i]) for i in order]
+        counts = np.concatenate([unpack_ints(seen[i]) for i in order])
+        del asked_, seen
         uniq, first, inverse, _ = grouped(np.concatenate(parts))
         total = np.zeros(len(uniq), np.uint64)
         np.add.at(total, inverse, counts)
@@ -223,7 +226,7 @@ def totals(asked: DataFrame, elect: bool = False) -> DataFrame:
         for p in parts:
             out.append(pack_ints(back[at : at + len(p)]))
             at += len(p)
-        return pa.table({"block": group.column("block"), "shard": group.column("shard"), "totals": pa.array(out, pa.binary())})
+        return pa.table({"block": pa.array([names[i] for i in order], pa.string()), "shard": group.column("shard"), "totals": pa.array(out, pa.binary())})
 
     return asked.groupBy("shard").applyInArrow(run, "block string, shard int, totals binary")
 

@@ -4,9 +4,11 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from splatframe.llm import suffixes
+from splatframe.llm.common import pack_ints, pack_sorted, totals, unpack_ints
 from splatframe.llm.cover import difference_cover
 
 
@@ -48,3 +50,12 @@ def test_empty_table_and_cut_texts(spark):
 def test_difference_covers(v):
     d = difference_cover(v)
     assert {(a - b) % v for a in d for b in d} == set(range(v))
+
+
+@pytest.mark.parametrize("order", ["abc", "cba", "bca"])
+def test_election_does_not_depend_on_arrival(spark, order):
+    keys = {"a": [7], "b": [5, 7], "c": [5, 7, 9]}
+    rows = [(b, 0, bytearray(pack_sorted(np.array(keys[b], np.uint64))), bytearray(pack_ints(np.ones(len(keys[b]), np.uint64)))) for b in order]
+    asked = spark.createDataFrame(rows, "block string, shard int, keys binary, counts binary").coalesce(1)
+    got = {r.block: unpack_ints(bytes(r.totals)).tolist() for r in totals(asked, elect=True).collect()}
+    assert got == {"a": [7], "b": [5, 6], "c": [4, 6, 3]}
