@@ -4,8 +4,11 @@ In a merge list's encoding of any prefix the last token is the one vocabulary to
 compatible with the last token of the shorter prefix (a pair is compatible if the merge list leaves it as it is).
 So the state after each byte depends on the states of the last `lookahead` bytes alone, where the sufficient
 lookahead is the longest token's length: a chain of tokens is stable, and is emitted, once the chains of all those
-states share it. What is kept does not grow with the text's length. Repeated short pre-tokens come from a
-bounded cache of the transducer's output.
+states share it. What is kept does not grow with the text's length.
+
+That streaming path, stream(), runs only on pre-tokens longer than the lookahead. Shorter ones, which is nearly all
+text, are held whole anyway and take another path, within(): a search from the left with backtracking, by the same
+rule of compatible pairs. Its output for pre-tokens of at most 64 characters is kept in a bounded cache.
 
 Null and empty texts have no tokens. Special tokens' strings in a text become their ids, as in the library.
 """
