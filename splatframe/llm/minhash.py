@@ -4,7 +4,7 @@ Sketch (Dahlgaard, Knudsen and Thorup, 2017): in rounds 0..t-1 every element is
 t..2t-1 into bin round - t; a bin keeps the least (round, hash) it gets, so every coordinate fills, usually within a few
 rounds, and the share of equal coordinates is concentrated about the Jaccard similarity. The coordinates are cut
 into bands; documents that share a band are candidates. At similarity 0.8 a pair shares none of the 56 bands of 6
-with probability 4e-9.
+with probability 4.0e-8.
 
 Documents with equal sets are one class from the start. Classes in one band are not paired with each other
 wholesale: in a few star rounds each class meets one candidate of another component, links found join components, and
