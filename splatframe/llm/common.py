@@ -79,9 +79,10 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     bits = np.uint64(max(1, len(keys).bit_length()))
     low = np.uint64((1 << int(bits)) - 1)
     both = keys & ~low
-    both |= np.arange(len(keys), dtype=np.uint64)
+    both |= np.arange(len(keys), dtype=np.uint32 if len(keys) < 1 << 32 else np.uint64)
     both.sort()
-    place = (both & low).astype(np.int32 if len(keys) < 1 << 31 else np.int64)
+    place = np.empty(len(keys), np.int32 if len(keys) < 1 << 31 else np.int64)
+    np.bitwise_and(both, low, out=place, casting="unsafe")  # without another array of the keys' size
     both >>= bits
     new = np.ones(len(keys), bool)
     np.not_equal(both[1:], both[:-1], out=new[1:])
