@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
+import re
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text in one block; a longer document is a block of its own.
 BLOCK_BYTES = 8 << 20
 #: Keys of one count shard; the number of shards follows from the size of the input.
-SHARD_KEYS = 1 << 20
+SHARD_KEYS = 1 << 21
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,15 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which all executors share; set here only where it is unset."""
+    """A new folder under spark.checkpoint.dir, which all executors share. Where that is unset, a local session (one
+    machine, as in tests) sets its own; a cluster has to name one."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         if jvm_dir.isDefined():
             base = jvm_dir.get()
-        else:
+        elif re.match(r"local($|\[)", spark.sparkContext.master):
             base = "file:///tmp/checkpoints"
             spark.sparkContext.setCheckpointDir(base)
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return f"{base}/scratch-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
@@ -51,12 +57,22 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def with_row_key(docs: DataFrame) -> DataFrame:
-    """docs with a column _row that no two rows share: doc_id where it does that, else a number written with the rows."""
-    ids = docs.select(F.col("doc_id").cast("long").alias("_row"))
-    if ids.groupBy("_row").count().filter("count > 1 or _row is null").isEmpty():
-        return docs.withColumn("_row", F.col("doc_id").cast("long"))
-    return written(docs.withColumn("_row", F.monotonically_increasing_id()))
+def free_name(docs: DataFrame, name: str) -> str:
+    """name, with underscores before it until no column of docs has it."""
+    there = {c.lower() for c in docs.columns}
+    while name.lower() in there:
+        name = f"_{name}"
+    return name
+
+
+def with_row_key(docs: DataFrame) -> tuple[DataFrame, str]:
+    """docs with another column that no two rows share, and its name: doc_id where it does that, else a number
+    written with the rows."""
+    key = free_name(docs, "_row")
+    ids = docs.select(F.col("doc_id").cast("long").alias("id"))
+    if ids.groupBy("id").count().filter("count > 1 or id is null").isEmpty():
+        return docs.withColumn(key, F.col("doc_id").cast("long")), key
+    return written(docs.withColumn(key, F.monotonically_increasing_id())), key
 
 
 def splitmix(x: np.ndarray) -> np.ndarray:
@@ -135,55 +151,80 @@ def unpack_all(parts: list[bytes]) -> np.ndarray:
 # ---------------------------------------------------------------- blocks of documents
 
 
-def to_blocks(docs: DataFrame, *columns: str, block_bytes: int = BLOCK_BYTES, level: int = 9) -> DataFrame:
-    """(block, n_docs, n_bytes, payload): rows of docs packed and compressed in the order read, without a shuffle.
+def steady(docs: DataFrame) -> DataFrame:
+    """docs if every reading of it gives the same rows in the same places, else a written copy."""
+    run = docs._jdf.queryExecution()
+    nodes = re.findall(r"^[ :+*()0-9-]*([A-Za-z ]*[A-Za-z])", run.sparkPlan().toString(), re.M)
+    fixed = all(re.match(r"(Project|Filter|FileScan|Scan parquet|Scan ExistingRDD|LocalTableScan|Range)\b", n) for n in nodes)
+    return docs if fixed and run.optimizedPlan().deterministic() else written(docs)
+
+
+class Blocks:
+    """Rows of docs in blocks, in the order read, without a shuffle.
 
-    Written to the shared folder, so a block keeps its name and rows however often later steps read it.
+    A block is filled by the bytes of its texts before compression (or by the column `size`); a longer text is a block
+    of its own. It is named by its place in docs and a digest of its rows, so it has the same name whenever it is made
+    again (docs must be steady()), and nothing is written for that.
     """
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        size = 0
+    def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES, level: int = 9, size: str | None = None) -> None:
+        self.docs, self.block_bytes, self.level, self.size = docs, block_bytes, level, size
 
-        def flush() -> pa.RecordBatch:
-            out = io.BytesIO()
-            with pa.ipc.new_stream(out, held[0].schema) as w:
-                for b in held:
-                    w.write_batch(b)
-            return pa.RecordBatch.from_pydict(
-                {"block": [uuid.uuid4().hex], "n_docs": [sum(b.num_rows for b in held)], "n_bytes": [size], "payload": [zstandard.compress(out.getvalue(), level)]},
-                schema=pa.schema([("block", pa.string()), ("n_docs", pa.int64()), ("n_bytes", pa.int64()), ("payload", pa.binary())]),
-            )
+    def over(self, use: Callable[[str, pa.Buffer], pa.RecordBatch | None], schema: str) -> DataFrame:
+        """The rows that use(name, Arrow stream of the block) makes of each block."""
+        block_bytes, size = self.block_bytes, self.size
 
-        for batch in batches:
-            at = 0
-            sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0)) if batch.num_rows else np.zeros(0)
-            for i, n in enumerate(sizes):
-                if size and size + int(n) > block_bytes:
-                    if i > at:
-                        held.append(batch.slice(at, i - at))
-                    yield flush()
-                    held, size, at = [], 0, i
-                size += int(n)
-            if batch.num_rows > at:
-                held.append(batch.slice(at))
-        if held:
-            yield flush()
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: list[pa.RecordBatch] = []
+            filled = made = 0
 
-    return written(docs.select(*columns).mapInArrow(pack, "block string, n_docs long, n_bytes long, payload binary"))
+            def done() -> pa.RecordBatch | None:
+                out = io.BytesIO()
+                with pa.ipc.new_stream(out, held[0].schema) as w:
+                    for b in held:
+                        w.write_batch(b)
+                data = pa.py_buffer(out.getbuffer())
+                return use(f"{hashlib.blake2b(data, digest_size=8).hexdigest()}-{TaskContext.get().partitionId()}-{made}", data)
 
+            for batch in batches:
+                at = 0
+                column = batch.column(size) if size else pa.compute.binary_length(batch.column("text"))
+                sizes = np.asarray(pa.compute.fill_null(column, 0)) if batch.num_rows else np.zeros(0)
+                for i, n in enumerate(sizes):
+                    if filled and filled + int(n) > block_bytes:
+                        if i > at:
+                            held.append(batch.slice(at, i - at))
+                        if (out := done()) is not None:
+                            yield out
+                        held, filled, made, at = [], 0, made + 1, i
+                    filled += int(n)
+                if batch.num_rows > at:
+                    held.append(batch.slice(at))
+            if held and (out := done()) is not None:
+                yield out
 
-def open_block(payload: bytes) -> pa.Table:
-    return pa.ipc.open_stream(zstandard.decompress(payload)).read_all()
+        return self.docs.mapInArrow(run, schema)
 
+    def rows(self) -> DataFrame:
+        """(block, payload): each block under its name, compressed."""
+        level = self.level
+        return self.over(lambda name, data: pa.RecordBatch.from_pydict({"block": [name], "payload": pa.array([zstandard.compress(data, level)], pa.binary())}), "block string, payload binary")
 
-def block_bytes_total(blocks: DataFrame) -> int:
-    return blocks.agg(F.sum("n_bytes")).first()[0] or 0
+
+def opened(data: pa.Buffer | bytes) -> pa.Table:
+    return pa.ipc.open_stream(data).read_all()
+
+
+def text_total(docs: DataFrame, size: str | None = None) -> int:
+    """Bytes of all texts, by which shards are numbered."""
+    return docs.agg(F.sum(F.col(size) if size else F.octet_length("text"))).first()[0] or 0
 
 
 # ---------------------------------------------------------------- sharded key counts
 
 Keys = Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]
+#: Key ranges to which one block (or team of blocks) sends rows: a row for a kilobyte or so of its text.
+FAN = 8192
 
 
 def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
@@ -191,62 +232,105 @@ def shard_of(keys: np.ndarray, shards: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(shards)) >> np.uint64(32)
 
 
-def ask(blocks: DataFrame, keys: Keys, shards: int) -> DataFrame:
-    """(block, shard, keys, counts): each block's distinct keys with their counts, pre-aggregated before the shuffle."""
+def sliced(block: str, k: np.ndarray, c: np.ndarray, shards: int) -> dict[str, list]:
+    """Rows (block, shard, keys, counts) of the ranges in which the sorted keys k lie."""
+    of = shard_of(k, shards)
+    begin = np.flatnonzero(np.diff(of, prepend=np.uint64(shards + 1)))
+    ends = np.append(begin[1:], len(k))
+    return {"block": [block] * len(begin), "shard": pa.array(of[begin].astype(np.int64)), "keys": pa.array([pack_sorted(k[a:b]) for a, b in zip(begin, ends, strict=True)], pa.binary()), "counts": pa.array([pack_ints(c[a:b]) for a, b in zip(begin, ends, strict=True)], pa.binary())}
+
+
+def ask(blocks: Blocks, keys: Keys, shards: int, fan: int = FAN) -> DataFrame:
+    """(block, shard, keys, counts): each block's distinct keys with their counts, pre-aggregated before the shuffle;
+    over `fan` ranges at most, which totals() divides further."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, payload in zip(batch.column("block").to_pylist(), batch.column("payload"), strict=True):
-                k, c = keys(open_block(payload.as_py()))
-                ends = np.searchsorted(shard_of(k, shards), np.arange(shards + 1, dtype=np.uint64))
-                rows = [(s, pack_sorted(k[a:b]), pack_ints(c[a:b])) for s, (a, b) in enumerate(zip(ends[:-1], ends[1:], strict=True)) if b > a]
-                if rows:
-                    s, kk, cc = zip(*rows, strict=True)
-                    yield pa.RecordBatch.from_pydict({"block": [block] * len(rows), "shard": pa.array(s, pa.int32()), "keys": kk, "counts": cc})
+    def use(name: str, data: pa.Buffer) -> pa.RecordBatch | None:
+        k, c = keys(opened(data))
+        return pa.RecordBatch.from_pydict(sliced(name, k, c, min(shards, fan))) if len(k) else None
 
-    return blocks.select("block", "payload").mapInArrow(run, "block string, shard int, keys binary, counts binary")
+    return blocks.over(use, ASKED)
 
 
-def totals(asked: DataFrame, elect: bool = False) -> DataFrame:
+ASKED, ANSWER = "block string, shard long, keys binary, counts binary", "block string, shard long, totals binary"
+
+
+def merged(group: pa.Table) -> tuple[list[str], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names and keys of a group's rows by name, not in the order of arrival, which changes from run to run; distinct
+    keys, their first places, each key's group and the sums of counts."""
+    names, asked_, seen = (group.column(c).to_pylist() for c in ("block", "keys", "counts"))
+    order = sorted(range(len(names)), key=names.__getitem__)
+    parts = [unpack_sorted(asked_[i]) for i in order]
+    counts = np.concatenate([unpack_ints(seen[i]) for i in order])
+    del asked_, seen
+    uniq, first, inverse, _ = grouped(np.concatenate(parts))
+    total = np.zeros(len(uniq), np.uint64)
+    np.add.at(total, inverse, counts)
+    return [names[i] for i in order], parts, uniq, first, inverse, total
+
+
+def handed_back(names: list[str], parts: list[np.ndarray], shard: int, back: np.ndarray) -> pa.Table:
+    out, at = [], 0
+    for p in parts:
+        out.append(pack_ints(back[at : at + len(p)]))
+        at += len(p)
+    return pa.table({"block": pa.array(names, pa.string()), "shard": pa.array([shard] * len(names), pa.int64()), "totals": pa.array(out, pa.binary())})
+
+
+def totals(asked: DataFrame, shards: int, n_blocks: int, elect: bool = False, fan: int = FAN, here: int = 0) -> DataFrame:
     """(block, shard, totals): for each block's keys, in their order, twice the count over all blocks, plus 1 (if
-    asked for) for the one block that is elected to speak for the key: that of the smallest name, so a shard that is
-    computed again elects the same. A shard is sorted alone, so memory is bounded by its size."""
-
-    def run(group: pa.Table) -> pa.Table:
-        names, asked_, seen = (group.column(c).to_pylist() for c in ("block", "keys", "counts"))
-        order = sorted(range(len(names)), key=names.__getitem__)  # not that of arrival, which changes from run to run
-        parts = [unpack_sorted(asked_[i]) for i in order]
-        counts = np.concatenate([unpack_ints(seen[i]) for i in order])
-        del asked_, seen
-        uniq, first, inverse, _ = grouped(np.concatenate(parts))
-        total = np.zeros(len(uniq), np.uint64)
-        np.add.at(total, inverse, counts)
-        back, at, out = 2 * total[inverse], 0, []
-        if elect:
-            back[first] += np.uint64(1)
-        for p in parts:
-            out.append(pack_ints(back[at : at + len(p)]))
-            at += len(p)
-        return pa.table({"block": pa.array([names[i] for i in order], pa.string()), "shard": group.column("shard"), "totals": pa.array(out, pa.binary())})
-
-    return asked.groupBy("shard").applyInArrow(run, "block string, shard int, totals binary")
-
-
-def answered(blocks: DataFrame, totals_: DataFrame, use: Callable[[pa.Table, np.ndarray, str], pa.Table], schema: str, unpack: Callable | None = None) -> DataFrame:
+    asked for) for the one block that is elected to speak for the key: the same whenever a shard is computed again.
+
+    A shard is sorted alone, so memory is bounded by its size. With more shards than `fan` ranges, teams of `fan`
+    blocks add up their counts first and send those on to finer ranges, level by level; so the rows sent grow in
+    proportion to the blocks and not to blocks times shards. here: the ranges that asked has.
+    """
+    here = here or min(shards, fan)
+    if shards <= here:
+
+        def run(group: pa.Table) -> pa.Table:
+            names, parts, _, first, inverse, total = merged(group)
+            back = 2 * total[inverse]
+            if elect:
+                back[first] += np.uint64(1)
+            return handed_back(names, parts, group.column("shard")[0].as_py(), back)
+
+        return asked.groupBy("shard").applyInArrow(run, ANSWER)
+    teams, per = -(-n_blocks // fan), min(fan, -(-shards // here))
+
+    def team_up(group: pa.Table) -> pa.Table:
+        _, _, uniq, _, _, total = merged(group)
+        return pa.table(sliced(f"{here}-{group.column('team')[0].as_py()}", uniq, total, here * per))
+
+    def spread(left: pa.Table, right: pa.Table) -> pa.Table:
+        names, parts, _, first, inverse, _ = merged(left)
+        got = dict(zip(right.column("shard").to_pylist(), right.column("totals").to_pylist(), strict=True))
+        known = unpack_all([got[k] for k in sorted(got)])
+        back = known[inverse] & ~np.uint64(1)
+        back[first] += known & np.uint64(1)
+        return handed_back(names, parts, left.column("shard")[0].as_py(), back)
+
+    dealt = asked.withColumn("team", F.pmod(F.xxhash64("block"), F.lit(teams)))
+    above = totals(dealt.groupBy("shard", "team").applyInArrow(team_up, ASKED), shards, teams, elect, fan, here * per)
+    back = above.select(F.split_part("block", F.lit("-"), F.lit(2)).cast("long").alias("team"), F.expr(f"shard div {per}").alias("over"), "shard", "totals")
+    return dealt.groupBy("shard", "team").cogroup(back.groupBy("over", "team")).applyInArrow(spread, ANSWER)
+
+
+def answered(blocks: Blocks, totals_: DataFrame, use: Callable[[pa.Table, np.ndarray, str], pa.Table], schema: str, unpack: Callable | None = None) -> DataFrame:
     """Brings each block's totals back to its rows; use(rows, totals in the order of the block's sorted keys, block)."""
     unpack = unpack or unpack_all
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            raise RuntimeError("a block was not made again as it was: docs changed between two readings")
         order = np.argsort(np.asarray(right.column("shard"))) if right.num_rows else []
         got = right.column("totals").to_pylist() if right.num_rows else []
-        flat = unpack([got[i] for i in order])
-        return pa.concat_tables([use(open_block(p), flat, b) for b, p in zip(left.column("block").to_pylist(), left.column("payload").to_pylist(), strict=True)])
+        return use(opened(zstandard.decompress(left.column("payload")[0].as_py())), unpack([got[i] for i in order]), left.column("block")[0].as_py())
 
-    return blocks.select("block", "payload").groupBy("block").cogroup(totals_.groupBy("block")).applyInArrow(run, schema)
+    return blocks.rows().groupBy("block").cogroup(totals_.groupBy("block")).applyInArrow(run, schema)
 
 
-def shards_for(blocks: DataFrame, keys_per_byte: float) -> int:
-    return max(16, int(block_bytes_total(blocks) * keys_per_byte / SHARD_KEYS) + 1)
+def shards_for(n_bytes: int, keys_per_byte: float) -> int:
+    return max(16, int(n_bytes * keys_per_byte / SHARD_KEYS) + 1)
 
 
 # ---------------------------------------------------------------- connected components
@@ -255,22 +339,21 @@ def shards_for(blocks: DataFrame, keys_per_byte: float) -> int:
 def components(links: DataFrame, most: int = 60) -> DataFrame:
     """(node, component): smallest node reachable over links (a, b), for every node that has a link.
 
-    Alternating large-star and small-star rounds (Kiveris et al., 2014), each written to the shared folder; every
-    round's groups are folded by min(), so one hot node is pre-aggregated before the shuffle.
+    Alternating large-star and small-star rounds (Kiveris et al., 2014), each written to the shared folder, until every
+    node has one edge or is the end of some; every round's groups are folded by min(), so one hot node is
+    pre-aggregated before the shuffle.
     """
     edges = written(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    last = None
     for _ in range(most):
+        ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("up")).unionByName(edges.select(F.col("v").alias("x"), F.lit(0).alias("up")))
+        if ends.groupBy("x").agg(F.sum("up").alias("ups"), F.min("up").alias("low")).filter("ups > 1 or ups = 1 and low = 0").isEmpty():
+            break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
         edges = written(small)
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == last:
-            break
-        last = now
     else:
         raise RuntimeError("components() did not settle")
-    return edges.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -8,7 +8,8 @@ so its score says how well the rest of the corpus predicts it:
     S(w | u, v) = c(u v w) / c(u v) if c(u v w) > 0, else ALPHA * S(w | v); S(w) = c(w) / N; an unseen word counts 1/2.
 
 Words are runs of anything but space and bytes 9-13, A-Z lowered; n-grams don't cross documents. N-grams are known by
-64-bit hashes. Null, empty and blank texts have no words and a null score. Rows are documents of their own even if
+hashes of as many bits as leave an n-gram a chance of 2^-SLACK, at any size of the input, to share one with another (64
+at most). Null, empty and blank texts have no words and a null score. Rows are documents of their own even if
 ids or texts repeat. An empty table gives an empty result.
 """
 
@@ -20,16 +21,21 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import answered, ask, grouped, shards_for, splitmix, table, text_bytes, to_blocks, totals
+from splatframe.llm.common import Blocks, answered, ask, grouped, shards_for, splitmix, steady, table, text_bytes, text_total, totals
 
 ORDER, ALPHA = 3, 0.4
 UNSEEN = 0.5
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 6 << 20
+SLACK = 28
 #: The key under which the number of words is counted.
 ALL = np.uint64(0x5851F42D4C957F2D)
 
 
-def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def key_mask(n_keys: float) -> np.uint64:
+    return np.uint64(2**64 - 2 ** (64 - min(64, max(1, int(n_keys)).bit_length() + SLACK)))
+
+
+def grams(texts: list[str | None], order: int, mask: np.uint64) -> tuple[np.ndarray, list[np.ndarray]]:
     """Each word's document, and per length n the key of the n-gram that ends at the word (0: none)."""
     hashed = [np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words)) for words in (text_bytes(t).lower().split() for t in texts)]
     sizes = np.array([len(h) for h in hashed], np.int64)
@@ -41,6 +47,7 @@ def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, list[np.ndar
         key = np.full(len(w), n, np.uint64)
         for k in range(n - 1, -1, -1):
             key[n - 1 :] = splitmix(key[n - 1 :] ^ w[n - 1 - k : len(w) - k])
+        key &= mask
         key[place < n - 1] = 0
         out.append(key)
     return doc, out
@@ -50,15 +57,16 @@ class Block:
     """A block's n-grams: sorted distinct keys (with the one for the number of words), their counts, and for each
     word and length the place of its n-gram among the keys (-1: none)."""
 
-    def __init__(self, texts: list[str | None], order: int) -> None:
+    def __init__(self, texts: list[str | None], order: int, mask: np.uint64) -> None:
         self.size = len(texts)
-        self.doc, keys = grams(texts, order)
-        flat = np.concatenate(keys)
+        self.doc, keys = grams(texts, order, mask)
+        n_words, flat = len(keys[0]), np.concatenate(keys)
+        del keys
         there = flat != 0
         uniq, _, inverse, counts = grouped(flat[there])
         all_at = int(np.searchsorted(uniq, ALL))
-        self.keys, self.counts, self.all_at = np.insert(uniq, all_at, ALL), np.insert(counts, all_at, len(keys[0])), all_at
-        at = np.full(len(flat), -1, np.int64)
+        self.keys, self.counts, self.all_at = np.insert(uniq, all_at, ALL), np.insert(counts, all_at, n_words), all_at
+        at = np.full(len(flat), -1, np.int32 if len(flat) < 2**31 - 2 else np.int64)
         at[there] = inverse + (inverse >= all_at)
         self.at = at.reshape(order, -1)
 
@@ -83,16 +91,20 @@ class Block:
 def backoff_scores(docs: DataFrame, order: int = ORDER, alpha: float = ALPHA) -> DataFrame:
     """(doc_id, n_words, log_score): sums over each document's words; log_score is null without words."""
 
+    docs = steady(docs.select(F.col("doc_id").cast("long"), "text"))
+    n_bytes = text_total(docs)
+    shards, mask = shards_for(n_bytes, 0.15 * order), key_mask(n_bytes / 2 * order)  # words have two bytes or more
+
     def keys_of(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-        b = Block(rows.column("text").to_pylist(), order)
+        b = Block(rows.column("text").to_pylist(), order, mask)
         return b.keys, b.counts
 
     def use(rows: pa.Table, total: np.ndarray, block: str) -> pa.Table:
-        words, log = Block(rows.column("text").to_pylist(), order).scores(total >> np.uint64(1), alpha)
+        words, log = Block(rows.column("text").to_pylist(), order, mask).scores(total >> np.uint64(1), alpha)
         return pa.table({"doc_id": rows.column("doc_id"), "n_words": pa.array(words, pa.int64()), "log_score": pa.array(log, mask=words == 0)})
 
-    blocks = to_blocks(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", "text", block_bytes=BLOCK_BYTES)
-    counts = totals(ask(blocks, keys_of, shards_for(blocks, 0.15 * order)))
+    blocks = Blocks(docs, BLOCK_BYTES)
+    counts = totals(ask(blocks, keys_of, shards), shards, n_bytes // BLOCK_BYTES + 1)
     return answered(blocks, counts, use, "doc_id long, n_words long, log_score double")
 
 

@@ -29,11 +29,12 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import answered, ask, discard, grouped, shards_for, table, text_bytes, to_blocks, totals, with_row_key, written
+from splatframe.llm.common import Blocks, answered, ask, free_name, grouped, shards_for, steady, table, text_bytes, text_total, totals, with_row_key, written
 from splatframe.llm.cover import Fingerprints, difference_cover
 
 LENGTH = 400
-BLOCK_BYTES = 4 << 20
+#: Bytes of text in a block of the first and of the second step, where each byte may start a suffix to sort.
+BLOCK_BYTES, TIED_BYTES = 4 << 20, 3 << 20
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 
 
@@ -149,41 +150,48 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         return pa.table({"doc_id": rows.column("doc_id"), "n_bytes": pa.array(t.sizes), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_sha256": list(sha), "spans": pa.array(spans, span)})
 
-    blocks = to_blocks(docs.select(F.col("doc_id").cast("long"), "text"), "doc_id", "text", block_bytes=BLOCK_BYTES)
-    ranks = totals(ask(blocks, sample_keys, shards_for(blocks, 0.07)), elect=True)
+    docs = steady(docs.select(F.col("doc_id").cast("long"), "text"))
+    n_bytes = text_total(docs)
+    blocks = Blocks(docs, BLOCK_BYTES)
+    shards = shards_for(n_bytes, 1.2 * len(difference_cover(v)) / v)
+    ranks = totals(ask(blocks, sample_keys, shards), shards, n_bytes // BLOCK_BYTES + 1, elect=True)
     rows = written(answered(blocks, ranks, candidates, "doc_id long, n_bytes long, sha256 string, weight long, places array<long>, text binary"))
-    discard(blocks)
-    open_ = to_blocks(rows.filter("text is not null"), "doc_id", "weight", "places", "text", block_bytes=BLOCK_BYTES // 3)
+    tied = rows.filter("text is not null")
+    n_tied = text_total(tied, "n_bytes")
+    open_ = Blocks(tied.select("doc_id", "n_bytes", "weight", "places", "text"), TIED_BYTES, level=1, size="n_bytes")
     done = rows.filter("text is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
-    again = totals(ask(open_, window_keys, shards_for(open_, 0.8)))
+    shards = shards_for(n_tied, 0.8)
+    again = totals(ask(open_, window_keys, shards), shards, n_tied // TIED_BYTES + 1)
     return done.unionByName(answered(open_, again, cut, RESULT))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """docs with every repeated span cut out of text, and n_chars (if any) set anew, whether or not rows share a doc_id.
+def without_repeats(docs: DataFrame, length: int = LENGTH, least_words: int = 0) -> DataFrame:
+    """docs with every repeated span (of at least least_words words) cut out of text, and n_chars (if any) set anew,
+    whether or not rows share a doc_id.
 
     Of a string that occurs several times the occurrences in the row with the smallest doc_id are not spared: as in
     remove_repeats(), every occurrence goes. Characters cut in part by a span go whole.
     """
-    keyed = with_row_key(docs)
-    spans = remove_repeats(keyed.select(F.col("_row").alias("doc_id"), "text"), length).filter("n_removed > 0").select(F.col("doc_id").alias("_row"), F.col("spans").alias("_spans"))
-    joined = keyed.join(spans, "_row", "left")
+    keyed, key = with_row_key(docs)
+    cuts_at = free_name(keyed, "_spans")
+    spans = remove_repeats(keyed.select(F.col(key).alias("doc_id"), "text"), length).filter("n_removed > 0").select(F.col("doc_id").alias(key), F.col("spans").alias(cuts_at))
+    joined = keyed.join(spans, key, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for text, cuts in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True):
+            for text, cuts in zip(batch.column("text").to_pylist(), batch.column(cuts_at).to_pylist(), strict=True):
                 if cuts:
                     data, parts, last = text_bytes(text), [], 0
-                    for s in cuts:
+                    for s in (s for s in cuts if len(data[s["start"] : s["end"]].split()) >= least_words):
                         parts.append(data[last : s["start"]].decode("utf-8", "ignore"))
                         last = s["end"]
                     text = "".join([*parts, data[last:].decode("utf-8", "ignore")])
                 texts.append(text)
             k = batch.schema.get_field_index("text")
-            yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type)).drop_columns(["_spans"])
+            yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type)).drop_columns([cuts_at])
 
-    out = joined.select(*docs.columns, "_spans").mapInArrow(run, docs.schema)
+    out = joined.select(*docs.columns, cuts_at).mapInArrow(run, docs.schema)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

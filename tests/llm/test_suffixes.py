@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from splatframe.llm import suffixes
-from splatframe.llm.common import pack_ints, pack_sorted, totals, unpack_ints
+from splatframe.llm.common import Blocks, ask, pack_ints, pack_sorted, splitmix, steady, totals, unpack_ints
 from splatframe.llm.cover import difference_cover
 
 
@@ -57,5 +57,27 @@ def test_election_does_not_depend_on_arrival(spark, order):
     keys = {"a": [7], "b": [5, 7], "c": [5, 7, 9]}
     rows = [(b, 0, bytearray(pack_sorted(np.array(keys[b], np.uint64))), bytearray(pack_ints(np.ones(len(keys[b]), np.uint64)))) for b in order]
     asked = spark.createDataFrame(rows, "block string, shard int, keys binary, counts binary").coalesce(1)
-    got = {r.block: unpack_ints(bytes(r.totals)).tolist() for r in totals(asked, elect=True).collect()}
+    got = {r.block: unpack_ints(bytes(r.totals)).tolist() for r in totals(asked, 1, 3, elect=True).collect()}
     assert got == {"a": [7], "b": [5, 6], "c": [4, 6, 3]}
+
+
+@pytest.mark.parametrize("shards", [3, 7, 40])
+def test_counts_in_levels_are_the_same(spark, tmp_path, shards):
+    """Teams of blocks that add up first give the counts that one level gives, and elect one block for each key."""
+    spark.range(0, 600, 1, 3).selectExpr("id", "cast(id % 97 as string) as text").write.parquet(f"file://{tmp_path}/t")
+    blocks = Blocks(steady(spark.read.parquet(f"file://{tmp_path}/t")), 25)
+
+    def keys(rows):
+        return np.unique(splitmix(np.array([int(t) for t in rows.column("text").to_pylist()], np.uint64)), return_counts=True)
+
+    def flat(fan):
+        found = totals(ask(blocks, keys, shards, fan), shards, 50, elect=True, fan=fan).orderBy("block", "shard").collect()
+        out = {}
+        for r in found:
+            out.setdefault(r.block, []).extend(unpack_ints(bytes(r.totals)).tolist())
+        return out
+
+    one, many = flat(64), flat(3)
+    assert {b: [x >> 1 for x in v] for b, v in one.items()} == {b: [x >> 1 for x in v] for b, v in many.items()}
+    assert sum(x & 1 for v in one.values() for x in v) == sum(x & 1 for v in many.values() for x in v) == 97
+    assert len(one) > 20 and spark.range(3).count() == 3
