@@ -8,8 +8,8 @@ with probability 4.0e-8.
 
 Documents with equal sets are one class from the start. Classes in one band are not paired with each other
 wholesale: in a few star rounds each class meets one candidate of another component, links found join components, and
-only classes of one band that are still in different components are then paired (in large bands only where their rare
-shingles meet, or their other shingles are enough for a link). So a group that hangs together costs pairs in
+only classes of one band that are still in different components are then paired (in large bands only where their
+prefixes in the order of rising shingle frequency meet, and their other shingles are enough for a link). So a group that hangs together costs pairs in
 proportion to its size. Every link counts only after comparing the full sets of both texts.
 
 Words are runs of anything but space and bytes 9-13, A-Z lowered. With fewer words than a shingle has, the whole
@@ -27,14 +27,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from splatframe.llm.common import components, splitmix, table, text_bytes, with_row_key, written
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 56, 6
-STAR_ROUNDS = 3
+STAR_ROUNDS = 2
 #: Nodes of a band that are paired outright, and nodes that a rare shingle has at most; either way no link is lost.
 FEW, RARE = 32, 8
 #: Hash parts by which the bound on what two sets share is summed.
@@ -143,28 +143,40 @@ def shingle_rows(texts: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
 def last_pairs(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b): every pair in one band but different components that can be a link; rows: (key, node, n, component).
 
-    Bands of few nodes pair all of them. In large ones two sets either share a shingle that at most RARE of these
-    nodes have, and are found by it, or share no more than the sum, over hash parts of the other shingles, of the
-    smaller of their numbers there, which has to be enough.
+    Bands of few nodes pair all of them. In large ones shingles are ordered by the number of these nodes that have
+    them: two similar sets then share one of their first n - ceil(percent * n / 100) + 1 (prefix filter). Either it is
+    one that at most RARE nodes have, by which they are found; or both have so few of those that their prefixes go
+    beyond them, and only such nodes are paired, where their prefixes meet and the sum over hash parts of the smaller
+    of their numbers of other shingles is enough for a link. A pair is made in the least band that it shares.
     """
     fits = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
     rows = written(rows.join(rows.groupBy("key").agg(F.count("*").alias("in_key")), "key"))
-    right = lambda df: df.select("key", *[F.col(c).alias(f"{c}_b") for c in df.columns if c not in ("key", "in_key")])
+    own = written(rows.groupBy("node", "n", "component").agg(F.sort_array(F.collect_set("key")).alias("keys"), F.max("in_key").alias("most")))  # BANDS keys at most
     apart = F.col("component") < F.col("component_b")
-    few, many = rows.filter(F.col("in_key") <= FEW), rows.filter(F.col("in_key") > FEW)
-    pairs = few.join(right(few), "key").filter(apart & fits(F.col("n"), F.col("n_b"))).select("node", "node_b")
-    nodes = written(many.select("node", "n", "component").distinct())
-    each = written(shingle_rows(texts, nodes.select("node"), words))
-    rare = each.groupBy("shingle").count().filter(F.col("count") <= RARE).select("shingle")
-    rarely = written(each.join(rare, "shingle").join(nodes, "node"))
-    part = F.pmod(F.col("shingle"), F.lit(PARTS))
-    caps = each.join(rare, "shingle", "left_anti").groupBy("node").agg(F.array(*[F.count_if(part == k) for k in range(PARTS)]).alias("caps"))
-    capped = many.join(written(caps), "node").select("key", "node", "n", "component", "caps")
+    once = F.col("key") == F.array_min(F.array_intersect("keys", "keys_b"))
+    few = rows.filter(F.col("in_key") <= FEW).drop("in_key").join(own.select("node", "component", "keys"), ["node", "component"])
+    pairs = few.join(right_of(few, "key"), "key").filter(apart & fits(F.col("n"), F.col("n_b")) & once).select("node", "node_b")
+    nodes = own.filter(F.col("most") > FEW).drop("most")
+    each = written(shingle_rows(texts, nodes.select("node").distinct(), words))
+    counted = each.join(each.groupBy("shingle").count(), "shingle").join(nodes.select("node", "n", "component"), "node")
+    prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
+    first = F.row_number().over(Window.partitionBy("node", "component").orderBy("count", "shingle"))
+    placed = written(counted.withColumn("first", first <= prefix))
+    rarely = placed.filter(F.col("first") & (F.col("count") <= RARE)).select("shingle", "node", "n", "component")
+    shared = rarely.join(right_of(rarely, "shingle"), "shingle").filter(apart & fits(F.col("n"), F.col("n_b"))).select("node", "node_b")
+    # all rare shingles of the nodes below are in their prefixes: two that share one are found already
+    part, common = F.pmod(F.col("shingle"), F.lit(PARTS)), placed.filter(F.col("count") > RARE)
+    heavy = common.groupBy("node", "n", "component").agg(F.array(*[F.count_if(part == k) for k in range(PARTS)]).alias("caps"), F.count("*").alias("common"), F.collect_list(F.when(F.col("first"), F.col("shingle"))).alias("prefix"))
+    heavy = written(heavy.filter(F.col("n") - F.col("common") < prefix).join(own.select("node", "component", "keys"), ["node", "component"]).drop("common"))
+    capped = rows.filter(F.col("in_key") > FEW).select("key", "node", "component").join(heavy, ["node", "component"])
     most = F.aggregate(F.zip_with("caps", "caps_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda a, x: a + x)
-    enough = (100 + percent) * most >= percent * (F.col("n") + F.col("n_b"))
-    pairs = pairs.union(capped.join(right(capped), "key").filter(apart & fits(F.col("n"), F.col("n_b")) & enough).select("node", "node_b"))
-    shared = rarely.join(rarely.select("shingle", F.col("node").alias("node_b"), F.col("n").alias("n_b"), F.col("component").alias("component_b")), "shingle")
-    return pairs.union(shared.filter(apart & fits(F.col("n"), F.col("n_b"))).select("node", "node_b")).distinct().toDF("a", "b")
+    enough = F.arrays_overlap("prefix", "prefix_b") & ((100 + percent) * most >= percent * (F.col("n") + F.col("n_b")))
+    pairs = pairs.union(capped.join(right_of(capped, "key"), "key").filter(apart & fits(F.col("n"), F.col("n_b")) & enough & once).select("node", "node_b"))
+    return pairs.union(shared).distinct().toDF("a", "b")
+
+
+def right_of(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key, *[F.col(c).alias(f"{c}_b") for c in df.columns if c != key])
 
 
 def near_links(docs: DataFrame, words: int, percent: int = PERCENT, n_bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
@@ -213,12 +225,12 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT)
 
 def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """docs with one row of each component, that of the smallest doc_id; repeated rows are rows like others."""
-    keyed = with_row_key(docs)
-    found = near_duplicates(keyed.select(F.col("_row").alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias("_row"), "component_id")
-    found = written(found.join(keyed.select("_row", F.col("doc_id").cast("long").alias("id")), "_row"))
-    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "_row"))["_row"].alias("_row"))
-    gone = found.select("_row").join(first, "_row", "left_anti")
-    return keyed.join(gone, "_row", "left_anti").select(*docs.columns)
+    keyed, key = with_row_key(docs)
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias(key), "component_id")
+    found = written(found.join(keyed.select(key, F.col("doc_id").cast("long").alias("id")), key))
+    first = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", key))[key].alias(key))
+    gone = found.select(key).join(first, key, "left_anti")
+    return keyed.join(gone, key, "left_anti").select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
