@@ -1,4 +1,4 @@
-"""Scalar kernels. Inputs are numeric columns, results double unless said; model columns are cast to float on assembly."""
+"""Scalar kernels. Inputs are numeric columns, results double unless said; model columns are cast to float32 where a cloud is assembled."""
 
 from __future__ import annotations
 
@@ -85,6 +85,15 @@ def transpose_rest(channel_major: Column) -> Column:
     return F.transform(step, lambda i: F.struct(F.get(channel_major, i).alias("r"), F.get(channel_major, i + k).alias("g"), F.get(channel_major, i + 2 * k).alias("b")))
 
 
+def model_rest(channel_major: Column) -> Column:
+    """flip_rest(transpose_rest()) in one step: float triples."""
+    k = (F.size(channel_major) / 3).cast("int")
+    step = F.when(k > 0, F.sequence(F.lit(0), k - 1)).otherwise(F.array().cast("array<int>"))
+    signs = F.array(*[F.lit(float(s)) for s in SH_SIGNS])
+    sign = lambda i: F.when(k <= len(SH_SIGNS), F.get(signs, i)).otherwise(1.0)
+    return F.transform(step, lambda i: F.struct(*[(F.get(channel_major, i + n * k if n else i) * sign(i)).cast("float").alias(x) for n, x in enumerate("rgb")]))
+
+
 def interleave(dc: Column, rest: Column) -> Column:
     return F.concat(F.array(dc), rest)
 
@@ -111,11 +120,12 @@ def fixed24(code: Column, fraction_bits: Column) -> Column:
 
 
 def quantise_fixed24(v: Column, fraction_bits: int) -> Column:
-    return F.floor(v * float(1 << fraction_bits) + 0.5).bitwiseAND(0xFFFFFF)
+    """Halves go to the even number, here and in to_byte()."""
+    return F.rint(v * float(1 << fraction_bits)).cast("long").bitwiseAND(0xFFFFFF)
 
 
 def to_byte(v: Column) -> Column:
-    return F.least(F.greatest(F.floor(v + 0.5), F.lit(0)), F.lit(255))
+    return F.least(F.greatest(F.rint(v).cast("long"), F.lit(0)), F.lit(255))
 
 
 def spz_alpha(b: Column) -> Column:

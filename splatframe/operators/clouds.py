@@ -69,7 +69,7 @@ def decoded_bytes(cloud: DataFrame, *by: str) -> DataFrame:
 
 
 def opacity_at_least(cloud: DataFrame, threshold: float) -> DataFrame:
-    return cloud.filter(F.col("opacity") >= threshold)
+    return cloud.filter(F.col("opacity") >= F.lit(threshold).cast("float"))  # compared as float32
 
 
 def inside(raw: DataFrame, low: tuple[float, float, float], high: tuple[float, float, float]) -> DataFrame:
@@ -78,6 +78,12 @@ def inside(raw: DataFrame, low: tuple[float, float, float], high: tuple[float, f
     return raw.filter(_all([F.col(a).between(lo, hi) for a, lo, hi in zip(AXES, low, high, strict=True)]))
 
 
+def candidates(raw: DataFrame, low: tuple[float, float, float], high: tuple[float, float, float]) -> DataFrame:
+    """(asset_id, source_count, candidates): splats of each asset and those inside the box."""
+    hit = _all([F.col(a).between(lo, hi) for a, lo, hi in zip(AXES, low, high, strict=True)])
+    return raw.groupBy("asset_id").agg(F.count("*").alias("source_count"), F.count_if(hit).alias("candidates"))
+
+
 def most_opaque(df: DataFrame, n: int) -> DataFrame:
     """The n rows of greatest opacity, ties to the smaller gidx, in source order."""
     return df.orderBy(F.desc("opacity"), "gidx").limit(n).orderBy("gidx")
@@ -116,7 +122,7 @@ def with_options(cloud: DataFrame, options: dict[str, str]) -> DataFrame:
     """Scale multiplier, then opacity threshold, then the cap of the rest coefficients."""
     o = import_options(options)
     if "scaleMultiplier" in o:
-        cloud = cloud.withColumn("scale", F.struct(*[(F.col(f"scale.{a}") * o["scaleMultiplier"]).alias(a) for a in AXES]))
+        cloud = cloud.withColumn("scale", F.struct(*[(F.col(f"scale.{a}") * F.lit(o["scaleMultiplier"]).cast("float")).cast("float").alias(a) for a in AXES]))
     if "opacityThreshold" in o:
         cloud = opacity_at_least(cloud, o["opacityThreshold"])
     if "shDegree" in o:
@@ -125,8 +131,10 @@ def with_options(cloud: DataFrame, options: dict[str, str]) -> DataFrame:
 
 
 def codebook_lookup(codes: DataFrame, code: str, codebook: DataFrame) -> DataFrame:
-    """Adds value from codebook (idx, value), which has 256 rows at most and so is broadcast."""
-    return codes.join(F.broadcast(codebook.limit(256).withColumnRenamed("idx", code)), code, "left")
+    """Adds value from codebook (idx, value), which has 256 rows at most and so is broadcast; a larger one is refused."""
+    if (n := codebook.count()) > 256:
+        raise ValueError(f"a codebook has 256 entries, not {n}")
+    return codes.join(F.broadcast(codebook.withColumnRenamed("idx", code)), code, "left")
 
 
 def palette_lookup(labels: DataFrame, palette: DataFrame, width: int) -> DataFrame:

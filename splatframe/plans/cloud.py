@@ -19,14 +19,14 @@ def raw_from_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode(raw: DataFrame) -> DataFrame:
-    """position, scale, rotation, opacity, dc and rest of each point, in the model's frame, with the decoding's flags."""
+    """position, scale, rotation, opacity, dc and rest of each point as float32, in the model's frame, with the decoding's
+    flags."""
     c = lambda *names: [F.col(n) for n in names]
     unit, replaced, changed = K.normalize(c("rot_0", "rot_1", "rot_2", "rot_3"))
     p, q = K.flip_position(c("x", "y", "z")), K.flip_rotation(unit)
+    single = lambda vs, names: F.struct(*[v.cast("float").alias(n) for v, n in zip(vs, names, strict=True)])
     return raw.select(
-        "asset_id", "gidx", F.struct(*[v.alias(n) for v, n in zip(p, "xyz", strict=True)]).alias("position"),
-        F.struct(*[K.log_scale(F.col(f"scale_{k}")).alias(n) for k, n in enumerate("xyz")]).alias("scale"),
-        F.struct(*[v.alias(n) for v, n in zip(q, "wijk", strict=True)]).alias("rotation"), K.sigmoid(F.col("opacity")).alias("opacity"),
-        F.struct(*[F.col(f"f_dc_{k}").alias(n) for k, n in enumerate("rgb")]).alias("dc"), K.flip_rest(K.transpose_rest(F.col("f_rest"))).alias("rest"),
-        replaced.alias("was_replaced"), changed.alias("was_changed"),
+        "asset_id", "gidx", single(p, "xyz").alias("position"), single([K.log_scale(F.col(f"scale_{k}")) for k in range(3)], "xyz").alias("scale"),
+        single(q, "wijk").alias("rotation"), K.sigmoid(F.col("opacity")).cast("float").alias("opacity"), single(c("f_dc_0", "f_dc_1", "f_dc_2"), "rgb").alias("dc"),
+        K.model_rest(F.col("f_rest")).alias("rest"), replaced.alias("was_replaced"), changed.alias("was_changed"),
     )

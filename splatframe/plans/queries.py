@@ -22,13 +22,18 @@ c AS (SELECT *, CASE WHEN o >= 0 THEN 1 / (1 + exp(-o)) ELSE exp(o) / (1 + exp(o
 
 
 def six(c: Column) -> Column:
-    return F.round(c, 6) + F.lit(0.0)
+    return F.round(c.cast("double"), 6) + F.lit(0.0)
 
 
 def r6(sql: str) -> str:
     return f"round(CAST({sql} AS DOUBLE), 6) + 0.0"
 
 
+def f4(sql: str) -> str:
+    """As float32, which a cloud's columns are."""
+    return f"CAST(CAST({sql} AS FLOAT) AS DOUBLE)"
+
+
 def query(name: str, sql: str | None = None, raw: bool = True):
     def add(f):
         QUERIES[name] = f
@@ -69,12 +74,12 @@ def _(spark, d):
     return t.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), F.coalesce(K.infer_degree(F.col("l_linenumber")), F.lit(-1)).alias("degree"))
 
 
-@query("p06_flip_position", f"SELECT gidx, {r6('x')} AS x, {r6('-y')} AS y, {r6('-z')} AS z FROM r")
+@query("p06_flip_position", f"SELECT gidx, {r6(f4('x'))} AS x, {r6(f4('-y'))} AS y, {r6(f4('-z'))} AS z FROM r")
 def _(spark, d):
     return cloud(spark, d).select("gidx", *[six(F.col(f"position.{a}")).alias(a) for a in "xyz"])
 
 
-@query("p07_flip_rotation", f"SELECT gidx, {r6('q0 / sqrt(n2)')} AS w, {r6('q1 / sqrt(n2)')} AS i, {r6('-q2 / sqrt(n2)')} AS j, {r6('-q3 / sqrt(n2)')} AS k FROM r")
+@query("p07_flip_rotation", f"SELECT gidx, {r6(f4('q0 / sqrt(n2)'))} AS w, {r6(f4('q1 / sqrt(n2)'))} AS i, {r6(f4('-q2 / sqrt(n2)'))} AS j, {r6(f4('-q3 / sqrt(n2)'))} AS k FROM r")
 def _(spark, d):
     return cloud(spark, d).select("gidx", *[six(F.col(f"rotation.{a}")).alias(a) for a in "wijk"])
 
@@ -107,13 +112,13 @@ def _(spark, d):
     return t.select("gidx", F.size("rest").alias("kept"), six(F.col("rest")[0]["r"] + F.col("rest")[1]["r"] - F.element_at("rest", -1)["r"]).alias("v"))
 
 
-@query("p10_fixed24", f"SELECT gidx, code, {r6('(CASE WHEN code >= 8388608 THEN code - 16777216 ELSE code END) / 4096.0')} AS x FROM (SELECT gidx, CAST(floor(x * 4096.0 + 0.5) AS BIGINT) & 16777215 AS code FROM r)")
+@query("p10_fixed24", f"SELECT gidx, code, {r6('(CASE WHEN code >= 8388608 THEN code - 16777216 ELSE code END) / 4096.0')} AS x FROM (SELECT gidx, CAST(round_even(x * 4096.0, 0) AS BIGINT) & 16777215 AS code FROM r)")
 def _(spark, d):
     t = raw(spark, d).select("gidx", K.quantise_fixed24(F.col("x"), 12).alias("code"))
     return t.select("gidx", "code", six(K.fixed24(F.col("code"), F.lit(12))).alias("x"))
 
 
-_BYTE = lambda e: f"least(greatest(CAST(floor({e} + 0.5) AS BIGINT), 0), 255)"
+_BYTE = lambda e: f"least(greatest(CAST(round_even({e}, 0) AS BIGINT), 0), 255)"
 
 
 @query("p11_p14_spz_bytes", f"SELECT gidx, {r6('ba / 255.0')} AS alpha, {r6('exp(bs / 16.0 - 10.0)')} AS scale, {r6('(bc / 255.0 - 0.5) / 0.15')} AS color, {r6('(bh - 128) / 128.0')} AS sh FROM (SELECT gidx, {_BYTE('a * 255.0')} AS ba, {_BYTE('(s0 + 10) * 16.0')} AS bs, {_BYTE('d0 * 38.25 + 127.5')} AS bc, {_BYTE('f[1] * 128.0 + 128')} AS bh FROM c)")
@@ -171,7 +176,7 @@ def _(spark, d):
     return raw(spark, d).select("gidx", six(K.align_sign(q, [*q[1:], q[0]])[0]).alias("w"))
 
 
-@query("f01_opacity_filter", f"SELECT gidx, {r6('a')} AS opacity FROM c WHERE a >= 0.4")
+@query("f01_opacity_filter", f"SELECT gidx, {r6(f4('a'))} AS opacity FROM c WHERE {f4('a')} >= {f4('0.4')}")
 def _(spark, d):
     return C.opacity_at_least(cloud(spark, d), 0.4).select("gidx", six(F.col("opacity")).alias("opacity"))
 
@@ -181,7 +186,7 @@ def _(spark, d):
     return C.inside(raw(spark, d), (-10, -12, -20), (10, 8, 20)).select("gidx")
 
 
-@query("a01_extent", "SELECT asset_id, " + ", ".join(f"{r6(f'min({s}{a} - r)')} AS min_{a}, {r6(f'max({s}{a} + r)')} AS max_{a}" for s, a in (("", "x"), ("-", "y"), ("-", "z"))) + ", bool_or(r > 3.4028234663852886e38) AS overflow FROM (SELECT *, CAST(CAST(3.0 * greatest(es0, es1, es2) AS FLOAT) AS DOUBLE) AS r FROM c) GROUP BY 1")
+@query("a01_extent", "SELECT asset_id, " + ", ".join(f"{r6(f'min({s}{f4(a)} - r)')} AS min_{a}, {r6(f'max({s}{f4(a)} + r)')} AS max_{a}" for s, a in (("", "x"), ("-", "y"), ("-", "z"))) + ", bool_or(r > 3.4028234663852886e38) AS overflow FROM (SELECT *, CAST(CAST(CAST(3.0 AS DOUBLE) * greatest(CAST(CAST(es0 AS FLOAT) AS DOUBLE), CAST(CAST(es1 AS FLOAT) AS DOUBLE), CAST(CAST(es2 AS FLOAT) AS DOUBLE)) AS FLOAT) AS DOUBLE) AS r FROM c) GROUP BY 1")
 def _(spark, d):
     t = C.extent(cloud(spark, d), "asset_id")
     return t.select("asset_id", *[six(F.col(f"{m}_{a}")).alias(f"{m}_{a}") for a in "xyz" for m in ("min", "max")], "overflow")
@@ -194,11 +199,11 @@ def _(spark, d):
 
 @query("a04_first_violation", "SELECT asset_id, min(gidx) AS gidx, 'position' AS \"check\" FROM r WHERE gidx % 7 = 3 GROUP BY 1")
 def _(spark, d):
-    bad = cloud(spark, d).withColumn("position", F.when(F.col("gidx") % 7 == 3, F.struct(F.lit(float("nan")).alias("x"), F.lit(0.0).alias("y"), F.lit(0.0).alias("z"))).otherwise(F.col("position")))
+    bad = cloud(spark, d).withColumn("position", F.when(F.col("gidx") % 7 == 3, F.struct(F.lit(float("nan")).cast("float").alias("x"), F.lit(0.0).cast("float").alias("y"), F.lit(0.0).cast("float").alias("z"))).otherwise(F.col("position")))
     return C.first_violation(bad)
 
 
-@query("a05_violations", "SELECT asset_id, gidx, 'opacity' AS \"check\" FROM c WHERE a * 1.5 > 1")
+@query("a05_violations", "SELECT asset_id, gidx, 'opacity' AS \"check\" FROM c WHERE CAST(CAST(a AS FLOAT) AS DOUBLE) * 1.5 > 1")
 def _(spark, d):
     return C.violations(cloud(spark, d).withColumn("opacity", F.col("opacity") * 1.5))
 
@@ -241,7 +246,7 @@ def _(spark, d):
     return C.most_opaque(raw(spark, d), 100).select("gidx", six(F.col("opacity")).alias("opacity"))
 
 
-@query("o03_reindex", "SELECT asset_id, gidx, CAST(row_number() OVER (PARTITION BY asset_id ORDER BY gidx) - 1 AS BIGINT) AS row FROM c WHERE a >= 0.4")
+@query("o03_reindex", "SELECT asset_id, gidx, CAST(row_number() OVER (PARTITION BY asset_id ORDER BY gidx) - 1 AS BIGINT) AS row FROM c WHERE CAST(a AS FLOAT) >= CAST(0.4 AS FLOAT)")
 def _(spark, d):
     return C.reindexed(C.opacity_at_least(cloud(spark, d), 0.4)).select("asset_id", "gidx", "row")
 
@@ -279,7 +284,7 @@ def _(spark, d):
 @query("j04_compare_rest", "SELECT asset_id, gidx, 'rest' AS field FROM c WHERE gidx % 17 = 3 OR gidx % 19 = 4")
 def _(spark, d):
     a = cloud(spark, d)
-    last = F.transform("rest", lambda c, i: F.when(i == F.size("rest") - 1, c.withField("b", c["b"] + 0.5)).otherwise(c))
+    last = F.transform("rest", lambda c, i: F.when(i == F.size("rest") - 1, c.withField("b", (c["b"] + 0.5).cast("float"))).otherwise(c))
     return C.compare(a, a.withColumn("rest", F.when(F.col("gidx") % 17 == 3, last).when(F.col("gidx") % 19 == 4, K.cap_rest(F.col("rest"), F.lit(2))).otherwise(F.col("rest"))))
 
 
@@ -310,7 +315,7 @@ def _(spark, d):
     return spark.read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("code")).union(spark.read.parquet(f"{d}/orders.parquet").select("o_custkey")).distinct()
 
 
-@query("v01_option_pipeline", f"SELECT gidx, {r6('es0 * 2.0')} AS sx, {r6('a')} AS opacity, CAST(3 AS INTEGER) AS kept FROM c WHERE a >= 0.25")
+@query("v01_option_pipeline", f"SELECT gidx, {r6(f4('es0') + ' * 2.0')} AS sx, {r6(f4('a'))} AS opacity, CAST(3 AS INTEGER) AS kept FROM c WHERE {f4('a')} >= 0.25")
 def _(spark, d):
     t = C.with_options(cloud(spark, d), {"scaleMultiplier": "2", "opacityThreshold": "0.25", "shDegree": "1", "other": "x"})
     return t.select("gidx", six(F.col("scale.x")).alias("sx"), six(F.col("opacity")).alias("opacity"), F.size("rest").alias("kept"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from splatframe.functions import kernels as K
-from splatframe.sources import ply, spz
+from splatframe.sources import ply, sog, spz
 from splatframe.sources.errors import SourceError
 
 #: Rows of one Arrow batch.
@@ -25,7 +25,12 @@ def _files(spark: SparkSession, path: str, suffix: str) -> DataFrame:
 
 
 def metadata(spark: SparkSession, path: str) -> DataFrame:
-    """One row a file, from headers alone; code and message tell what is wrong with one, and are null otherwise."""
+    return metadata_of(_files(spark, path, "{ply,spz,sog,json}"))
+
+
+def metadata_of(files: DataFrame) -> DataFrame:
+    """One row a file (path, content), from headers alone; code and message tell what is wrong with one, and are null
+    otherwise."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -36,14 +41,17 @@ def metadata(spark: SparkSession, path: str) -> DataFrame:
                     if kind == "ply":
                         h = ply.parse_header(data)
                         row |= {"source_version": "1.0", "gaussian_count": h.count, "sh_degree": ply.layout(h)[0]}
-                    else:
+                    elif kind == "spz":
                         h = spz.read_header(data)
                         row |= {"source_version": str(h.version), "gaussian_count": h.count, "sh_degree": h.degree}
+                    else:
+                        m = sog.opened(data)[0]
+                        row |= {"source_format": "sog", "source_version": str(m.version), "gaussian_count": m.count, "sh_degree": m.degree}
                 except SourceError as e:
                     row |= {"code": e.code, "message": e.message}
                 yield pa.RecordBatch.from_pylist([row], pa.schema([(n.split()[0], {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}[n.split()[1]]) for n in META.split(", ")]))
 
-    return _files(spark, path, "{ply,spz}").mapInArrow(run, META)
+    return files.mapInArrow(run, META)
 
 
 def _lists(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -51,7 +59,11 @@ def _lists(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
 
 
 def read_ply(spark: SparkSession, path: str) -> DataFrame:
-    """Raw splats, ready for plans.cloud.decode; a bad file fails the action with its code."""
+    return ply_rows(_files(spark, path, "ply"))
+
+
+def ply_rows(files: DataFrame) -> DataFrame:
+    """Raw splats of files (path, content), ready for plans.cloud.decode; a bad file fails the action with its code."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,11 +75,15 @@ def read_ply(spark: SparkSession, path: str) -> DataFrame:
                     b = min(a + BATCH, h.count)
                     yield pa.RecordBatch.from_arrays([pa.array([name] * (b - a)), pa.array(np.arange(a, b)), *[pa.array(columns[n][a:b]) for n in ply.REQUIRED], _lists(rest[a:b], pa.float32())], ["asset_id", "gidx", *ply.REQUIRED, "f_rest"])
 
-    return _files(spark, path, "ply").mapInArrow(run, PLY_RAW)
+    return files.mapInArrow(run, PLY_RAW)
 
 
 def read_spz(spark: SparkSession, path: str) -> DataFrame:
-    """Codes of packed splats; decode_spz() makes a cloud of them."""
+    return spz_codes(_files(spark, path, "spz"))
+
+
+def spz_codes(files: DataFrame) -> DataFrame:
+    """Codes of packed splats of files (path, content); decode_spz() makes a cloud of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,7 +99,7 @@ def read_spz(spark: SparkSession, path: str) -> DataFrame:
                     same = [pa.array(np.full(n, x, np.int32)) for x in (h.version, h.fraction_bits)]
                     yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(np.arange(a, a + n)), *same, _lists(codes, pa.int32()), pa.array(t["alphas"][:, 0]), *[_lists(t[k], pa.int32()) for k in ("colors", "scales", "rotations", "sh")]], [c.split()[0] for c in SPZ_RAW.split(", ")])
 
-    return _files(spark, path, "spz").mapInArrow(run, SPZ_RAW)
+    return files.mapInArrow(run, SPZ_RAW)
 
 
 def decode_spz(raw: DataFrame) -> DataFrame:
@@ -96,11 +112,68 @@ def decode_spz(raw: DataFrame) -> DataFrame:
     raw = raw.withColumn("word", word)
     raw = raw.withColumns({f"q{k}": F.when(F.col("version") == 3, a).otherwise(b) for k, (a, b) in enumerate(zip(K.smallest_three(F.col("word")), few, strict=True))})
     unit, replaced, changed = K.normalize([F.col(f"q{k}") for k in range(4)])
-    rest = F.transform(F.sequence(F.lit(0), (F.size("sh") / 3).cast("int") - 1), lambda k: F.struct(*[K.spz_sh(F.element_at("sh", (3 * k + c + 1).cast("int"))).alias(n) for c, n in enumerate("rgb")]))
+    rest = F.transform(F.sequence(F.lit(0), (F.size("sh") / 3).cast("int") - 1), lambda k: F.struct(*[K.spz_sh(F.element_at("sh", (3 * k + c + 1).cast("int"))).cast("float").alias(n) for c, n in enumerate("rgb")]))
+    single = lambda vs, names: F.struct(*[v.cast("float").alias(n) for v, n in zip(vs, names, strict=True)])
+    return raw.select(
+        "asset_id", "gidx", single(p, "xyz").alias("position"), single([K.spz_scale(at("scale", k)) for k in range(3)], "xyz").alias("scale"), single(unit, "wijk").alias("rotation"),
+        K.spz_alpha(F.col("alpha")).cast("float").alias("opacity"), single([K.spz_color(at("color", k)) for k in range(3)], "rgb").alias("dc"),
+        F.when(F.size("sh") > 0, rest).otherwise(F.array().cast("array<struct<r:float,g:float,b:float>>")).alias("rest"), replaced.alias("was_replaced"), changed.alias("was_changed"),
+    )
+
+
+SOG_RAW = "asset_id string, gidx long, " + ", ".join(f"{n} array<float>" for n in ("position", "scale", "rotation")) + ", opacity float, dc array<float>, rest array<float>, label_beyond long"
+
+
+def sog_rows(asset: str, data: bytes, beside: sog.Loader | None = None) -> Iterator[pa.RecordBatch]:
+    """Splats of one file in its own frame; label_beyond: how many of the batch have no palette row, in its first row."""
+    meta = sog.read(data, beside)
+    for a in range(0, meta.count, BATCH):
+        c, beyond = sog.columns(meta, a, min(a + BATCH, meta.count))
+        n = len(c["opacity"])
+        parts = {"asset_id": pa.array([asset] * n), "gidx": pa.array(np.arange(a, a + n))} | {k: _lists(c[k], pa.float32()) for k in ("position", "scale", "rotation")}
+        parts |= {"opacity": pa.array(c["opacity"]), "dc": _lists(c["dc"], pa.float32()), "rest": _lists(c["rest"].reshape(n, -1), pa.float32()), "label_beyond": pa.array([beyond] + [0] * (n - 1))}
+        yield pa.RecordBatch.from_pydict(parts)
+
+
+def sog_bundles(files: DataFrame) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                yield from sog_rows(name, content.as_py())
+
+    return files.mapInArrow(run, SOG_RAW)
+
+
+def sog_folders(files: DataFrame) -> DataFrame:
+    """Of a meta.json and planes in one folder; files has all of them, which meet by folder."""
+
+    def run(group: pa.Table) -> pa.Table:
+        held = {p.rsplit("/", 1)[-1]: (p, c) for p, c in zip(group.column("path").to_pylist(), group.column("content"), strict=True)}
+        if sog.META not in held:
+            return pa.Table.from_batches([], EMPTY_SOG)
+        path, data = held[sog.META]
+        return pa.Table.from_batches(list(sog_rows(path, data.as_py(), lambda name: held[name][1].as_py() if name in held else None)))
+
+    folder = F.regexp_replace("path", r"/[^/]*$", "")
+    return files.withColumn("_folder", folder).groupBy("_folder").applyInArrow(run, SOG_RAW)
+
+
+EMPTY_SOG = pa.schema([("asset_id", pa.string()), ("gidx", pa.int64()), *[(n, pa.list_(pa.float32())) for n in ("position", "scale", "rotation")], ("opacity", pa.float32()), ("dc", pa.list_(pa.float32())), ("rest", pa.list_(pa.float32())), ("label_beyond", pa.int64())])
+
+
+def read_sog(spark: SparkSession, path: str) -> DataFrame:
+    """Splats of bundles (.sog) and of folders with a meta.json; decode_sog() makes a cloud of them."""
+    return sog_bundles(_files(spark, path, "sog")).unionByName(sog_folders(_files(spark, path, "{json,webp}")))
+
+
+def decode_sog(raw: DataFrame) -> DataFrame:
+    """The cloud of image-plane splats, in the model's frame. Columns as those of plans.cloud.decode."""
+    at = lambda name, n: [F.col(name)[k] for k in range(n)]
+    single = lambda vs, names: F.struct(*[v.cast("float").alias(n) for v, n in zip(vs, names, strict=True)])
+    triples = F.transform(F.sequence(F.lit(0), (F.size("rest") / 3).cast("int") - 1), lambda k: F.struct(*[F.element_at("rest", (3 * k + c + 1).cast("int")).alias(n) for c, n in enumerate("rgb")]))
+    rest = F.when(F.size("rest") > 0, triples).otherwise(F.array().cast("array<struct<r:float,g:float,b:float>>"))
+    turned = F.transform(K.flip_rest(rest), lambda c: single([c[x] for x in "rgb"], "rgb"))
     return raw.select(
-        "asset_id", "gidx", F.struct(*[v.alias(n) for v, n in zip(p, "xyz", strict=True)]).alias("position"),
-        F.struct(*[K.spz_scale(at("scale", k)).alias(n) for k, n in enumerate("xyz")]).alias("scale"),
-        F.struct(*[v.alias(n) for v, n in zip(unit, "wijk", strict=True)]).alias("rotation"), K.spz_alpha(F.col("alpha")).alias("opacity"),
-        F.struct(*[K.spz_color(at("color", k)).alias(n) for k, n in enumerate("rgb")]).alias("dc"),
-        F.when(F.size("sh") > 0, rest).otherwise(F.array().cast("array<struct<r:double,g:double,b:double>>")).alias("rest"), replaced.alias("was_replaced"), changed.alias("was_changed"),
+        "asset_id", "gidx", single(K.flip_position(at("position", 3)), "xyz").alias("position"), single(at("scale", 3), "xyz").alias("scale"), single(K.flip_rotation(at("rotation", 4)), "wijk").alias("rotation"),
+        "opacity", single(at("dc", 3), "rgb").alias("dc"), turned.alias("rest"), F.lit(False).alias("was_replaced"), F.lit(False).alias("was_changed"),
     )

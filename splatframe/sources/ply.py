@@ -38,6 +38,26 @@ class Header:
     properties: list[tuple[str, str]]  # name, type; "list" for a list
     length: int
     comments: list[str] = field(default_factory=list)
+    before: list[tuple[int, list[tuple]]] = field(default_factory=list)  # number and property types of elements before
+    others: list[tuple[str, int]] = field(default_factory=list)  # names and numbers of the other elements
+
+    def payload_at(self, data: bytes) -> int:
+        """Where the splats begin: after the header and the elements before them."""
+        at = self.length
+        for count, kinds in self.before:
+            if self.encoding == "ascii":
+                for _ in range(count):
+                    at = data.find(b"\n", at) + 1
+                    if not at:
+                        fail("E015", "payload is cut off")
+            elif all(len(k) == 1 for k in kinds):
+                at += count * sum(np.dtype(k[0]).itemsize for k in kinds)
+            else:
+                for _ in range(count):
+                    for k in kinds:
+                        many = int(np.frombuffer(data, k[0], 1, at)[0]) if len(k) == 2 and at + 8 <= len(data) else 1
+                        at += np.dtype(k[0]).itemsize + (many * np.dtype(k[1]).itemsize if len(k) == 2 else 0)
+        return at
 
 
 def parse_header(data: bytes) -> Header:
@@ -52,11 +72,13 @@ def parse_header(data: bytes) -> Header:
             case ["comment" | "obj_info", *_]:
                 comments.append(line)
             case ["element", name, count] if count.isdigit():
-                elements.append((name, int(count), []))
-            case ["property", "list", _, _, name] if elements:
+                elements.append((name, int(count), [], []))
+            case ["property", "list", size, kind, name] if elements and size in TYPES and kind in TYPES:
                 elements[-1][2].append((name, "list"))
+                elements[-1][3].append((TYPES[size], TYPES[kind]))
             case ["property", kind, name] if elements and kind in TYPES:
                 elements[-1][2].append((name, kind))
+                elements[-1][3].append((TYPES[kind],))
             case []:
                 pass
             case _:
@@ -64,12 +86,13 @@ def parse_header(data: bytes) -> Header:
     if encoding not in ("ascii", "binary_little_endian"):
         fail("E015", f"encoding {encoding or 'missing'}")
     vertices = [e for e in elements if e[0] == "vertex"]
-    if len(vertices) != 1 or elements[0][0] != "vertex":
-        fail("E001", "the first element has to be the only one named vertex")
+    if len(vertices) != 1:
+        fail("E001", "one element has to be named vertex")
     names = [n for n, _ in vertices[0][2]]
     if twice := next((n for n in names if names.count(n) > 1), None):
         fail("E006" if twice.startswith("f_rest_") else "E015", f"property {twice} is declared twice")
-    return Header(encoding, vertices[0][1], vertices[0][2], end.end(), comments)
+    before = [(e[1], e[3]) for e in elements[: elements.index(vertices[0])]]
+    return Header(encoding, vertices[0][1], vertices[0][2], end.end(), comments, before, [(e[0], e[1]) for e in elements if e is not vertices[0]])
 
 
 def is_splat(path: str, data: bytes) -> bool:
@@ -117,9 +140,9 @@ def layout(header: Header) -> tuple[int, int, list[str]]:
 
 def read_columns(data: bytes, header: Header, n_rest: int) -> tuple[dict[str, np.ndarray], np.ndarray]:
     """The required properties by name and a (count, n_rest) array of the rest, as float32; all of them finite."""
-    names = [n for n, _ in header.properties]
+    names, start = [n for n, _ in header.properties], header.payload_at(data)
     if header.encoding == "ascii":
-        tokens = data[header.length :].split()
+        tokens = data[start:].split(None, header.count * len(names))
         if len(tokens) < header.count * len(names):
             fail("E014", "payload is too short")
         try:
@@ -129,9 +152,9 @@ def read_columns(data: bytes, header: Header, n_rest: int) -> tuple[dict[str, np
         take = {n: flat[:, k] for k, n in enumerate(names)}
     else:
         row = np.dtype([(n, TYPES[t]) for n, t in header.properties])
-        if len(data) - header.length < header.count * row.itemsize:
+        if len(data) - start < header.count * row.itemsize:
             fail("E014", "payload is too short")
-        rows = np.frombuffer(data, row, header.count, header.length)
+        rows = np.frombuffer(data, row, header.count, start)
         take = {n: rows[n] for n in names}
 
     def column(name: str) -> np.ndarray:
