@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from splatframe.functions import kernels as K
 from splatframe.operators import clouds as C
+from splatframe.operators import diagnostics as G
+from splatframe.operators import layers as L
+from splatframe.plans.assets import encoded
 from splatframe.plans.cloud import decode, raw_from_embeddings
+from splatframe.sources import files as S
+from splatframe.sources import subsets as U
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -38,7 +43,7 @@ def query(name: str, sql: str | None = None, raw: bool = True):
     def add(f):
         QUERIES[name] = f
         if sql:
-            ORACLE_SQL[name] = f"WITH {RAW} {sql}" if raw else sql
+            ORACLE_SQL[name] = f"WITH {RAW}{'' if sql.startswith(',') else ' '}{sql}" if raw else sql
         return f
 
     return add
@@ -321,6 +326,192 @@ def _(spark, d):
     return t.select("gidx", six(F.col("scale.x")).alias("sx"), six(F.col("opacity")).alias("opacity"), F.size("rest").alias("kept"))
 
 
-@query("s05_metadata", "SELECT asset_id, count(*) AS gaussian_count, CAST(3 AS INTEGER) AS sh_degree FROM r GROUP BY 1")
+# ---------------------------------------------------------------- files made from the table, read again
+
+_PLACED = "n AS (SELECT *, row_number() OVER (PARTITION BY asset_id ORDER BY gidx) - 1 AS place FROM c)"
+
+
+def placed(sql: str) -> str:
+    return f", {_PLACED} {sql}"
+
+
+@query("s03_ply_rows", placed(f"SELECT CAST(asset_id AS VARCHAR) || '.ply' AS asset_id, CAST(place AS BIGINT) AS gidx, {r6(f4('x'))} AS x, {r6(f4('s2'))} AS scale_2, {r6(f4('q3'))} AS rot_3, {r6(f4('o'))} AS opacity, {r6(f4('f[45]'))} AS rest FROM n"))
+def _(spark, d):
+    t = S.ply_rows(encoded(spark, d, "ply"))
+    return t.select("asset_id", "gidx", *[six(F.col(c)).alias(c) for c in ("x", "scale_2", "rot_3", "opacity")], six(F.col("f_rest")[44]).alias("rest"))
+
+
+@query("s05_s14_s26_metadata", "SELECT CAST(asset_id AS VARCHAR) || '.' || k.kind AS asset_id, k.kind AS source_format, k.v AS source_version, count(*) AS gaussian_count, CAST(3 AS INTEGER) AS sh_degree, CAST(NULL AS VARCHAR) AS code FROM r, (VALUES ('ply', '1.0'), ('spz', '2'), ('sog', '2')) k(kind, v) GROUP BY 1, 2, 3")
+def _(spark, d):
+    three = [S.metadata_of(encoded(spark, d, kind)) for kind in ("ply", "spz", "sog")]
+    return three[0].union(three[1]).union(three[2]).drop("source_bytes", "message")
+
+
+@query("s12_spz_codes", placed(f"SELECT CAST(asset_id AS VARCHAR) || '.spz' AS asset_id, CAST(place AS BIGINT) AS gidx, CAST(CAST(round_even(y * 4096.0, 0) AS BIGINT) & 16777215 AS INTEGER) AS y, CAST({_BYTE('a * 255.0')} AS INTEGER) AS alpha, CAST({_BYTE('(s1 + 10) * 16.0')} AS INTEGER) AS scale, CAST({_BYTE('d2 * 38.25 + 127.5')} AS INTEGER) AS color, CAST({_BYTE('f[17] * 128.0 + 128')} AS INTEGER) AS sh FROM n"))
+def _(spark, d):
+    t = S.spz_codes(encoded(spark, d, "spz"))
+    return t.select("asset_id", "gidx", F.col("position")[1].alias("y"), "alpha", F.col("scale")[1].alias("scale"), F.col("color")[2].alias("color"), F.col("sh")[4].alias("sh"))
+
+
+@query("s12_spz_cloud", placed(f"SELECT CAST(asset_id AS VARCHAR) || '.spz' AS asset_id, CAST(place AS BIGINT) AS gidx, {r6(f4(_BYTE('a * 255.0') + ' / CAST(255 AS DOUBLE)'))} AS opacity, {r6(f4('round_even(z * 4096.0, 0) / 4096.0'))} AS z, CAST(15 AS INTEGER) AS rest FROM n"))
+def _(spark, d):
+    t = S.decode_spz(S.spz_codes(encoded(spark, d, "spz")))
+    return t.select("asset_id", "gidx", six(F.col("opacity")).alias("opacity"), six(F.col("position.z")).alias("z"), F.size("rest").alias("rest"))
+
+
+@query("s25_sog_cloud", placed(f"SELECT CAST(asset_id AS VARCHAR) || '.sog' AS asset_id, CAST(place AS BIGINT) AS gidx, {r6(f4('round_even(a * 255.0, 0) / CAST(255 AS DOUBLE)'))} AS opacity, true AS near, CAST(15 AS INTEGER) AS rest FROM n"))
+def _(spark, d):
+    t = S.decode_sog(S.sog_bundles(encoded(spark, d, "sog")))
+    model = decode(S.ply_rows(encoded(spark, d, "ply"))).select(F.regexp_replace("asset_id", "ply$", "sog").alias("asset_id"), "gidx", F.struct("position", "scale", "rotation", "dc").alias("m"))
+    off = lambda c, ks, by: [F.abs(F.col(f"{c}.{k}") - F.col(f"m.{c}.{k}")) <= by(F.col(f"m.{c}.{k}")) for k in ks]
+    q = K.align_sign([F.col(f"rotation.{k}") for k in "wijk"], [F.col(f"m.rotation.{k}") for k in "wijk"])
+    near = [*off("position", "xyz", lambda v: 1e-3 * (1 + F.abs(v))), *off("scale", "xyz", lambda v: 0.2 * v), *off("dc", "rgb", lambda v: F.lit(0.05)), *[F.abs(c - F.col(f"m.rotation.{k}")) <= 0.01 for c, k in zip(q, "wijk", strict=True)]]
+    every = near[0]
+    for c in near[1:]:
+        every = every & c
+    return t.join(model, ["asset_id", "gidx"]).select("asset_id", "gidx", six(F.col("opacity")).alias("opacity"), every.alias("near"), F.size("rest").alias("rest"))
+
+
+@query("k07_k09_j07_subsets", placed("SELECT CAST(asset_id AS VARCHAR) || '.' || kind AS asset_id, true AS matches, count(*) FILTER (WHERE place % 3 = 1) AS kept, count(*) AS source_count FROM n, (VALUES ('ply'), ('spz')) k(kind) GROUP BY 1 HAVING count(*) FILTER (WHERE place % 3 = 1) > 0"))
+def _(spark, d):
+    out = None
+    for kind, rows in (("ply", S.ply_rows), ("spz", S.spz_codes)):
+        files = encoded(spark, d, kind)
+        made = U.subsets(files, rows(files).filter("gidx % 3 = 1"), {"tool": "splatframe", "selection": "every third"})
+        again = S.metadata_of(made).select(F.col("asset_id").alias("path"), F.col("gaussian_count").alias("kept"))
+        count = F.get_json_object("provenance", "$.source.gaussian_count").cast("long").alias("source_count")
+        part = made.select("path", count).join(U.verified(made), "path").join(again, "path").select(F.regexp_replace("path", "^/subset-", "").alias("asset_id"), "matches", "kept", "source_count")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+# ---------------------------------------------------------------- gate, diagnostics, sinks
+
+def meta_of(t: DataFrame, *changes) -> DataFrame:
+    out = t.groupBy("asset_id").agg(F.count("*").alias("gaussian_count")).withColumn("sh_degree", F.lit(3))
+    for c in changes:
+        out = out.withColumn(*c)
+    return out
+
+
+def numbered(t: DataFrame) -> DataFrame:
+    return C.reindexed(t).drop("gidx").withColumnRenamed("row", "gidx")
+
+
+@query("v02_gate", placed("""SELECT asset_id, CASE asset_id % 6 WHEN 3 THEN CASE WHEN count(*) > 2 THEN 2 ELSE -1 END WHEN 4 THEN CASE WHEN count(*) > 1 THEN 1 ELSE -1 END WHEN 5 THEN 0 ELSE -1 END AS gidx,
+ CASE asset_id % 6 WHEN 0 THEN 'length' WHEN 1 THEN 'rest_length' WHEN 2 THEN 'degree' WHEN 3 THEN CASE WHEN count(*) > 2 THEN 'value' END WHEN 4 THEN CASE WHEN count(*) > 1 THEN 'norm' END WHEN 5 THEN 'rest' END AS problem FROM n GROUP BY 1"""))
+def _(spark, d):
+    kind = F.col("asset_id") % 6
+    t = numbered(cloud(spark, d))
+    t = t.withColumn("opacity", F.when((kind == 3) & (F.col("gidx") >= 2), F.lit(1.5).cast("float")).otherwise(F.col("opacity")))
+    t = t.withColumn("rotation", F.when((kind == 4) & (F.col("gidx") == 1), F.struct(*[F.lit(2.0).cast("float").alias(k) for k in "wijk"])).otherwise(F.col("rotation")))
+    t = t.withColumn("rest", F.when(kind == 5, F.transform("rest", lambda c: c.withField("g", F.lit(float("nan")).cast("float")))).when(kind == 1, K.cap_rest(F.col("rest"), F.lit(2))).otherwise(F.col("rest")))
+    found = G.gate(t, meta_of(t, ("gaussian_count", F.when(F.col("asset_id") % 6 == 0, F.col("gaussian_count") + 1).otherwise(F.col("gaussian_count"))), ("sh_degree", F.when(F.col("asset_id") % 6 == 2, 4).otherwise(3))))
+    return found.withColumn("gidx", F.coalesce("gidx", F.lit(-1)))
+
+
+@query("v06_v07_catalogue", "SELECT * FROM (VALUES ('ply', 'error', 26), ('ply', 'warning', 3), ('spz', 'error', 20), ('spz', 'warning', 2), ('sog', 'error', 20), ('sog', 'warning', 1)) t(source_format, severity, n)", raw=False)
+def _(spark, d):
+    return G.catalogue(spark).groupBy("source_format", "severity").agg(F.count_distinct("code").cast("int").alias("n"))
+
+
+@query("a05_every_check", "SELECT asset_id, gidx, unnest(CASE gidx % 8 WHEN 0 THEN ['position'] WHEN 1 THEN ['scale'] WHEN 2 THEN ['rotation', 'norm'] WHEN 3 THEN ['opacity'] WHEN 4 THEN ['dc'] WHEN 5 THEN ['norm'] WHEN 6 THEN ['rest'] ELSE [] END) AS \"check\" FROM r")
+def _(spark, d):
+    return C.violations(with_faults(cloud(spark, d)))
+
+
+@query("a04_first_of_every_check", "SELECT asset_id, gidx, ['position', 'scale', 'rotation', 'opacity', 'dc', 'norm', 'rest'][gidx % 8 + 1] AS \"check\" FROM (SELECT asset_id, coalesce(min(gidx) FILTER (WHERE gidx % 8 < 6), min(gidx) FILTER (WHERE gidx % 8 = 6)) AS gidx FROM r GROUP BY 1) WHERE gidx IS NOT NULL")
+def _(spark, d):
+    return C.first_violation(with_faults(cloud(spark, d)))
+
+
+def with_faults(t: DataFrame) -> DataFrame:
+    """Every eighth row each with a position, scale, rotation, opacity, dc, norm or rest that can't be."""
+    kind, single = F.col("gidx") % 8, lambda v: F.lit(v).cast("float")
+    broken = lambda c, k, v, at: F.when(kind == at, F.col(c).withField(k, single(v))).otherwise(F.col(c))
+    t = t.withColumns({"position": broken("position", "z", float("inf"), 0), "scale": broken("scale", "y", 0.0, 1), "dc": broken("dc", "b", float("nan"), 4), "opacity": F.when(kind == 3, single(-0.25)).otherwise(F.col("opacity"))})
+    turned = F.when(kind == 2, F.col("rotation").withField("j", single(float("nan")))).when(kind == 5, F.struct(*[single(1.0).alias(k) for k in "wijk"])).otherwise(F.col("rotation"))
+    return t.withColumns({"rotation": turned, "rest": F.when(kind == 6, F.transform("rest", lambda c: c.withField("r", single(float("nan"))))).otherwise(F.col("rest"))})
+
+
+@query("a02_every_warning", "SELECT asset_id, count(*) FILTER (WHERE gidx % 9 <> 0 AND abs(n2 - 1) > 1e-5 AND n2 > 1e-20) AS normalised, count(*) FILTER (WHERE gidx % 9 = 0 OR n2 <= 1e-20) AS replaced FROM r GROUP BY 1")
+def _(spark, d):
+    none = {f"rot_{k}": F.when(F.col("gidx") % 9 == 0, 0.0).otherwise(F.col(f"rot_{k}")) for k in range(4)}
+    return C.warning_counts(decode(raw(spark, d).withColumns(none)), "asset_id")
+
+
+@query("k01_k02_layer_lines", "SELECT asset_id, p.part, CAST(CASE p.part WHEN 0 THEN 19 WHEN 1 THEN 1 WHEN 9 THEN 2 ELSE count(*) END AS BIGINT) AS n, CASE p.part WHEN 1 THEN 0 ELSE 1 END AS ends FROM r, (VALUES (0), (1), (2), (3), (4), (5), (6), (9)) p(part) GROUP BY 1, 2")
+def _(spark, d):
+    t = numbered(cloud(spark, d))
+    lines = L.layer_lines(t, meta_of(t), "ply")
+    ends = F.count_if(F.col("line").rlike(r"\]$") & F.col("part").between(2, 6) | F.col("line").isin("}", "        int radiance:sphericalHarmonicsDegree = 3")).cast("int")
+    return lines.groupBy("asset_id", "part").agg(F.count("*").alias("n"), ends.alias("ends"))
+
+
+@query("k03_metadata_layer", "SELECT asset_id, string_agg(line, '|' ORDER BY k) AS text FROM (SELECT asset_id, unnest([1, 2, 3]) AS k, unnest(['        uint64 \"gs:gaussianCount\" = ' || count(*), '        int \"gs:shDegree\" = 3', '        string \"gs:sourceFormat\" = \"spz\"']) AS line FROM r GROUP BY 1) GROUP BY 1")
+def _(spark, d):
+    lines = L.metadata_lines(meta_of(raw(spark, d)), "spz").filter(F.col("line").contains("gs:"))
+    return lines.groupBy("asset_id").agg(F.sort_array(F.collect_list(F.struct("at", "line"))).alias("l")).select("asset_id", F.array_join(F.transform("l", lambda x: x["line"]), "|").alias("text"))
+
+
+@query("k10_stats_line", "SELECT CAST(asset_id AS VARCHAR) AS asset_id, 'import format=\"ply\" version=\"1.0\" gaussians=' || count(*) || ' shDegree=3 sourceBytes=' || count(*) * 236 || ' decodedBytes=' || count(*) * 236 || ' boundsMin=' || " + " || ',' || ".join(f"printf('%.6g', min({s}{f4(a)} - r))" for s, a in (("", "x"), ("-", "y"), ("-", "z"))) + " || ' boundsMax=' || " + " || ',' || ".join(f"printf('%.6g', max({s}{f4(a)} + r))" for s, a in (("", "x"), ("-", "y"), ("-", "z"))) + " || ' readSeconds=0.25 decodeSeconds=0 authorSeconds=0' AS line FROM (SELECT *, " + f4("CAST(3.0 AS DOUBLE) * greatest(" + ", ".join(f4(f"es{k}") for k in range(3)) + ")") + " AS r FROM c) GROUP BY 1")
+def _(spark, d):
+    t = cloud(spark, d)
+    return L.stats_lines(t, meta_of(t, ("source_format", F.lit("ply")), ("source_version", F.lit("1.0")), ("source_bytes", F.col("gaussian_count") * 236), ("read_seconds", F.lit(0.25))))
+
+
+@query("f01_e202_all_filtered", "SELECT asset_id, 'SF-PLY-E202' AS code FROM c GROUP BY 1 HAVING max(CAST(a AS FLOAT)) < CAST(0.99 AS FLOAT)")
+def _(spark, d):
+    t = cloud(spark, d)
+    return G.not_all_filtered(t, C.opacity_at_least(t, 0.99))
+
+
+@query("j01_zip", "SELECT asset_id, gidx, gidx % 10 <> 0 AS whole FROM r")
+def _(spark, d):
+    t = raw(spark, d)
+    part = lambda c: t.select("asset_id", "gidx", F.col(c).alias("value"))
+    return G.zipped({"position": part("x"), "opacity": part("opacity").filter("gidx % 10 <> 0"), "scale": part("scale_0")}).select("asset_id", "gidx", "whole")
+
+
+@query("u02_unknown_properties", "SELECT p_partkey AS id, array_to_string(list_sort(list_filter([p_brand, 'x', 'nx', 'f_rest_3', 'f_rest_a', 'opacity'], lambda p: p NOT IN ('x', 'nx', 'opacity') AND NOT regexp_matches(p, '^f_rest_[0-9]+$'))), ',') AS unknown FROM part", raw=False)
+def _(spark, d):
+    names = F.array("p_brand", *map(F.lit, ("x", "nx", "f_rest_3", "f_rest_a", "opacity")))
+    t = spark.read.parquet(f"{d}/part.parquet")
+    return t.select(F.col("p_partkey").alias("id"), F.array_join(G.unknown_properties(names, ["x", "nx", "opacity"]), ",").alias("unknown"))
+
+
+@query("p35_checked_length", "SELECT l_orderkey AS id, l_linenumber AS n, CASE WHEN l_linenumber <= 4 AND v <= 9223372036854775807 THEN CAST(v AS BIGINT) ELSE -1 END AS length FROM (SELECT *, CAST(l_orderkey AS HUGEINT) * 1000000000000000 * (l_linenumber * l_linenumber - 1) AS v FROM lineitem)", raw=False)
+def _(spark, d):
+    t = spark.read.parquet(f"{d}/lineitem.parquet").withColumn("c", F.try_multiply(F.col("l_orderkey").cast("long"), F.lit(1000000000000000)))
+    length = F.coalesce(G.checked_rest_length(F.col("c"), F.col("l_linenumber") - 1), F.when(F.col("l_linenumber") == 1, F.lit(0)), F.lit(-1))  # -1: too many
+    return t.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), length.cast("long").alias("length"))
+
+
+@query("p25_half_even", "SELECT l_orderkey AS id, l_linenumber AS n, least(greatest(CAST(round_even(((l_orderkey + l_linenumber) % 601 - 40) / CAST(2 AS DOUBLE), 0) AS BIGINT), 0), 255) AS byte, CAST(round_even((l_orderkey % 999 - 500) / CAST(8192 AS DOUBLE) * 4096.0, 0) AS BIGINT) & 16777215 AS fixed FROM lineitem", raw=False)
+def _(spark, d):
+    t = spark.read.parquet(f"{d}/lineitem.parquet")
+    return t.select(F.col("l_orderkey").alias("id"), F.col("l_linenumber").alias("n"), K.to_byte(((F.col("l_orderkey") + F.col("l_linenumber")) % 601 - 40) / 2.0).alias("byte"), K.quantise_fixed24((F.col("l_orderkey") % 999 - 500) / 8192.0, 12).alias("fixed"))
+
+
+@query("p09_half", "SELECT id, e = 31 AS special, CASE WHEN e < 31 THEN round(CAST(s * CASE WHEN e = 0 THEN f * pow(2.0, -24) ELSE (1 + f / CAST(1024 AS DOUBLE)) * pow(2.0, e - 15) END AS DOUBLE), 9) + 0.0 END AS value FROM (SELECT p_partkey AS id, b & 1023 AS f, (b >> 10) & 31 AS e, CASE WHEN b >= 32768 THEN -1 ELSE 1 END AS s FROM (SELECT p_partkey, CAST(p_partkey * 7919 % 65536 AS BIGINT) AS b FROM part))", raw=False)
+def _(spark, d):
+    t = spark.read.parquet(f"{d}/part.parquet").select(F.col("p_partkey").alias("id"), (F.col("p_partkey") * 7919 % 65536).cast("int").alias("b")).withColumn("v", K.half_to_float(F.col("b")))
+    fine = K.finite(F.col("v"))
+    return t.select("id", (~fine).alias("special"), (F.round(F.when(fine, F.col("v")), 9) + F.lit(0.0)).alias("value"))
+
+
+@query("a14_mismatch_counts", "SELECT 'dc' AS field, count(*) AS n FROM r WHERE gidx % 5 = 1 HAVING count(*) > 0 UNION ALL SELECT 'opacity', count(*) FROM r WHERE gidx % 13 = 2 HAVING count(*) > 0")
+def _(spark, d):
+    a = cloud(spark, d)
+    b = a.withColumn("opacity", F.when(F.col("gidx") % 13 == 2, (F.col("opacity") + 1).cast("float")).otherwise(F.col("opacity"))).withColumn("dc", F.when(F.col("gidx") % 5 == 1, F.col("dc").withField("g", (F.col("dc.g") + 1).cast("float"))).otherwise(F.col("dc")))
+    return G.mismatch_counts(a, b, {"scale": 1e-3})
+
+
+@query("a16_candidates", "SELECT asset_id, count(*) AS source_count, count(*) FILTER (WHERE x BETWEEN -10 AND 10 AND y BETWEEN -12 AND 8 AND z BETWEEN -20 AND 20) AS candidates FROM r GROUP BY 1")
+def _(spark, d):
+    return C.candidates(raw(spark, d), (-10, -12, -20), (10, 8, 20))
+
+
+@query("p39_hash", "SELECT doc_id, sha256(coalesce(text, '')) AS sha256 FROM documents", raw=False)
 def _(spark, d):
-    return raw(spark, d).groupBy("asset_id").agg(F.count("*").alias("gaussian_count"), K.infer_degree(F.max(F.size("f_rest")) / 3 + 1).alias("sh_degree"))
+    return spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("sha256"))

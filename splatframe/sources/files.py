@@ -28,30 +28,39 @@ def metadata(spark: SparkSession, path: str) -> DataFrame:
     return metadata_of(_files(spark, path, "{ply,spz,sog,json}"))
 
 
-def metadata_of(files: DataFrame) -> DataFrame:
-    """One row a file (path, content), from headers alone; code and message tell what is wrong with one, and are null
-    otherwise."""
+def metadata_batch(path: str, data: bytes, size: int | None = None) -> pa.RecordBatch:
+    kind = path.rsplit(".", 1)[-1].lower()
+    row = {"asset_id": path, "source_format": kind, "source_version": None, "gaussian_count": None, "sh_degree": None, "source_bytes": len(data) if size is None else size, "code": None, "message": None}
+    try:
+        if kind == "ply":
+            h = ply.parse_header(data)
+            row |= {"source_version": "1.0", "gaussian_count": h.count, "sh_degree": ply.layout(h)[0]}
+        elif kind == "spz":
+            h = spz.read_header(data)
+            row |= {"source_version": str(h.version), "gaussian_count": h.count, "sh_degree": h.degree}
+        else:
+            m = sog.opened(data)[0]
+            row |= {"source_format": "sog", "source_version": str(m.version), "gaussian_count": m.count, "sh_degree": m.degree}
+    except SourceError as e:
+        row |= {"code": e.code, "message": e.message}
+    return pa.RecordBatch.from_pylist([row], pa.schema([(n.split()[0], {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}[n.split()[1]]) for n in META.split(", ")]))
+
+
+def _each(files: DataFrame, batches_of, schema: str) -> DataFrame:
+    """The batches that batches_of(path, bytes) makes of each file (path, content)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                data, kind = content.as_py(), name.rsplit(".", 1)[-1].lower()
-                row = {"asset_id": name, "source_format": kind, "source_version": None, "gaussian_count": None, "sh_degree": None, "source_bytes": len(data), "code": None, "message": None}
-                try:
-                    if kind == "ply":
-                        h = ply.parse_header(data)
-                        row |= {"source_version": "1.0", "gaussian_count": h.count, "sh_degree": ply.layout(h)[0]}
-                    elif kind == "spz":
-                        h = spz.read_header(data)
-                        row |= {"source_version": str(h.version), "gaussian_count": h.count, "sh_degree": h.degree}
-                    else:
-                        m = sog.opened(data)[0]
-                        row |= {"source_format": "sog", "source_version": str(m.version), "gaussian_count": m.count, "sh_degree": m.degree}
-                except SourceError as e:
-                    row |= {"code": e.code, "message": e.message}
-                yield pa.RecordBatch.from_pylist([row], pa.schema([(n.split()[0], {"string": pa.string(), "long": pa.int64(), "int": pa.int32()}[n.split()[1]]) for n in META.split(", ")]))
-
-    return files.mapInArrow(run, META)
+            for path, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
+                yield from batches_of(path, content.as_py())
+
+    return files.select("path", "content").mapInArrow(run, schema)
+
+
+def metadata_of(files: DataFrame) -> DataFrame:
+    """One row a file (path, content), from headers alone; code and message tell what is wrong with one, and are null
+    otherwise."""
+    return _each(files, lambda path, data: [metadata_batch(path, data)], META)
 
 
 def _lists(rows: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -64,18 +73,18 @@ def read_ply(spark: SparkSession, path: str) -> DataFrame:
 
 def ply_rows(files: DataFrame) -> DataFrame:
     """Raw splats of files (path, content), ready for plans.cloud.decode; a bad file fails the action with its code."""
+    return _each(files, ply_batches, PLY_RAW)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                data = content.as_py()
-                h = ply.parse_header(data)
-                columns, rest = ply.read_columns(data, h, ply.layout(h)[1])
-                for a in range(0, h.count, BATCH):
-                    b = min(a + BATCH, h.count)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * (b - a)), pa.array(np.arange(a, b)), *[pa.array(columns[n][a:b]) for n in ply.REQUIRED], _lists(rest[a:b], pa.float32())], ["asset_id", "gidx", *ply.REQUIRED, "f_rest"])
 
-    return files.mapInArrow(run, PLY_RAW)
+def ply_batches(path: str, data: bytes) -> Iterator[pa.RecordBatch]:
+    h = ply.parse_header(data)
+    yield from ply_columns(path, 0, *ply.read_columns(data, h, ply.layout(h)[1]))
+
+
+def ply_columns(path: str, first: int, columns: dict[str, np.ndarray], rest: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for a in range(0, len(rest), BATCH):
+        b = min(a + BATCH, len(rest))
+        yield pa.RecordBatch.from_arrays([pa.array([path] * (b - a)), pa.array(np.arange(first + a, first + b)), *[pa.array(columns[n][a:b]) for n in ply.REQUIRED], _lists(rest[a:b], pa.float32())], ["asset_id", "gidx", *ply.REQUIRED, "f_rest"])
 
 
 def read_spz(spark: SparkSession, path: str) -> DataFrame:
@@ -84,22 +93,20 @@ def read_spz(spark: SparkSession, path: str) -> DataFrame:
 
 def spz_codes(files: DataFrame) -> DataFrame:
     """Codes of packed splats of files (path, content); decode_spz() makes a cloud of them."""
+    return _each(files, spz_batches, SPZ_RAW)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                h, s = spz.read_streams(content.as_py())
-                for a in range(0, h.count, BATCH):
-                    n = min(BATCH, h.count - a)
-                    t = {k: v[a : a + n].astype(np.int32) for k, v in s.items()}
-                    wide = 2 if h.version == 1 else 3
-                    codes = (t["positions"].reshape(n, 3, wide) << (8 * np.arange(wide, dtype=np.int32))).sum(axis=2)
-                    if wide == 2 and ((codes >> 10 & 31) == 31).any():
-                        spz.fail("E012", "a position is not finite")
-                    same = [pa.array(np.full(n, x, np.int32)) for x in (h.version, h.fraction_bits)]
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * n), pa.array(np.arange(a, a + n)), *same, _lists(codes, pa.int32()), pa.array(t["alphas"][:, 0]), *[_lists(t[k], pa.int32()) for k in ("colors", "scales", "rotations", "sh")]], [c.split()[0] for c in SPZ_RAW.split(", ")])
 
-    return files.mapInArrow(run, SPZ_RAW)
+def spz_batches(path: str, data: bytes) -> Iterator[pa.RecordBatch]:
+    h, s = spz.read_streams(data)
+    for a in range(0, h.count, BATCH):
+        n = min(BATCH, h.count - a)
+        t = {k: v[a : a + n].astype(np.int32) for k, v in s.items()}
+        wide = 2 if h.version == 1 else 3
+        codes = (t["positions"].reshape(n, 3, wide) << (8 * np.arange(wide, dtype=np.int32))).sum(axis=2)
+        if wide == 2 and ((codes >> 10 & 31) == 31).any():
+            spz.fail("E012", "a position is not finite")
+        same = [pa.array(np.full(n, x, np.int32)) for x in (h.version, h.fraction_bits)]
+        yield pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array(np.arange(a, a + n)), *same, _lists(codes, pa.int32()), pa.array(t["alphas"][:, 0]), *[_lists(t[k], pa.int32()) for k in ("colors", "scales", "rotations", "sh")]], [c.split()[0] for c in SPZ_RAW.split(", ")])
 
 
 def decode_spz(raw: DataFrame) -> DataFrame:
@@ -136,12 +143,7 @@ def sog_rows(asset: str, data: bytes, beside: sog.Loader | None = None) -> Itera
 
 
 def sog_bundles(files: DataFrame) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content"), strict=True):
-                yield from sog_rows(name, content.as_py())
-
-    return files.mapInArrow(run, SOG_RAW)
+    return _each(files, sog_rows, SOG_RAW)
 
 
 def sog_folders(files: DataFrame) -> DataFrame:
