@@ -45,8 +45,8 @@ def prefix(path: str, n: int = PREFIX) -> bytes:
 class SplatReader(DataSourceReader):
     def __init__(self, kind: str, options: dict) -> None:
         self.kind, self.path = kind, options["path"]
-        self.meta_only = options.get("metadataOnly", "false").lower() == "true"
-        self.rows = int(options.get("rowsPerTask", ROWS))
+        self.meta_only = options.get("metadataonly", "false").lower() == "true"
+        self.rows = int(options.get("rowspertask", ROWS))
 
     def partitions(self) -> list[Part]:
         paths = listed(self.path, {"ply": (".ply",), "spz": (".spz",), "sog": (".sog", "/meta.json")}[self.kind])
@@ -101,7 +101,7 @@ class _Splats(DataSource):
         return files.META if self.options.get("metadataOnly", "false").lower() == "true" else {"ply": files.PLY_RAW, "spz": files.SPZ_RAW, "sog": files.SOG_RAW}[self.kind]
 
     def reader(self, schema) -> SplatReader:
-        return SplatReader(self.kind, dict(self.options))
+        return SplatReader(self.kind, {k.lower(): v for k, v in self.options.items()})
 
     def writer(self, schema, overwrite):
         raise SourceError(code_of(self.kind, "write_unsupported"), f"writing {self.kind} files is not supported")
