@@ -147,16 +147,16 @@ def last_pairs(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     them: two similar sets then share one of their first n - ceil(percent * n / 100) + 1 (prefix filter). Either it is
     one that at most RARE nodes have, by which they are found; or both have so few of those that their prefixes go
     beyond them, and only such nodes are paired, where their prefixes meet and the sum over hash parts of the smaller
-    of their numbers of other shingles is enough for a link. A pair is made in the least band that it shares.
+    of their numbers of other shingles is enough for a link. Such a pair is made in the least of these bands that it shares.
     """
     fits = lambda n, m: 100 * F.least(n, m) >= percent * F.greatest(n, m)
     rows = written(rows.join(rows.groupBy("key").agg(F.count("*").alias("in_key")), "key"))
-    own = written(rows.groupBy("node", "n", "component").agg(F.sort_array(F.collect_set("key")).alias("keys"), F.max("in_key").alias("most")))  # BANDS keys at most
+    many = rows.filter(F.col("in_key") > FEW).drop("in_key")
+    nodes = written(many.groupBy("node", "n", "component").agg(F.sort_array(F.collect_set("key")).alias("keys")))  # BANDS keys at most
     apart = F.col("component") < F.col("component_b")
     once = F.col("key") == F.array_min(F.array_intersect("keys", "keys_b"))
-    few = rows.filter(F.col("in_key") <= FEW).drop("in_key").join(own.select("node", "component", "keys"), ["node", "component"])
-    pairs = few.join(right_of(few, "key"), "key").filter(apart & fits(F.col("n"), F.col("n_b")) & once).select("node", "node_b")
-    nodes = own.filter(F.col("most") > FEW).drop("most")
+    few = rows.filter(F.col("in_key") <= FEW).drop("in_key")
+    pairs = few.join(right_of(few, "key"), "key").filter(apart & fits(F.col("n"), F.col("n_b"))).select("node", "node_b")
     each = written(shingle_rows(texts, nodes.select("node").distinct(), words))
     counted = each.join(each.groupBy("shingle").count(), "shingle").join(nodes.select("node", "n", "component"), "node")
     prefix = F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1
@@ -167,8 +167,8 @@ def last_pairs(rows: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     # all rare shingles of the nodes below are in their prefixes: two that share one are found already
     part, common = F.pmod(F.col("shingle"), F.lit(PARTS)), placed.filter(F.col("count") > RARE)
     heavy = common.groupBy("node", "n", "component").agg(F.array(*[F.count_if(part == k) for k in range(PARTS)]).alias("caps"), F.count("*").alias("common"), F.collect_list(F.when(F.col("first"), F.col("shingle"))).alias("prefix"))
-    heavy = written(heavy.filter(F.col("n") - F.col("common") < prefix).join(own.select("node", "component", "keys"), ["node", "component"]).drop("common"))
-    capped = rows.filter(F.col("in_key") > FEW).select("key", "node", "component").join(heavy, ["node", "component"])
+    heavy = written(heavy.filter(F.col("n") - F.col("common") < prefix).join(nodes.select("node", "component", "keys"), ["node", "component"]).drop("common"))
+    capped = many.select("key", "node", "component").join(heavy, ["node", "component"])
     most = F.aggregate(F.zip_with("caps", "caps_b", lambda x, y: F.least(x, y)), F.lit(0).cast("long"), lambda a, x: a + x)
     enough = F.arrays_overlap("prefix", "prefix_b") & ((100 + percent) * most >= percent * (F.col("n") + F.col("n_b")))
     pairs = pairs.union(capped.join(right_of(capped, "key"), "key").filter(apart & fits(F.col("n"), F.col("n_b")) & enough & once).select("node", "node_b"))
