@@ -34,7 +34,7 @@ from splatframe.llm.cover import Fingerprints, difference_cover
 
 LENGTH = 400
 #: Bytes of text in a block of the first and of the second step, where each byte may start a suffix to sort.
-BLOCK_BYTES, TIED_BYTES = 4 << 20, 3 << 20
+BLOCK_BYTES, TIED_BYTES = 3 << 20, 2 << 20
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 
 
