@@ -3,7 +3,8 @@
 Paths have to be mounted on every executor (or be local); for other stores there are the readers of sources.files,
 which go through Spark's own file source. Binary PLY files without elements before the splats are read in ranges of
 rows, each by a task that reads only its range; metadataOnly reads headers only (a bounded prefix of PLY and of SPZ,
-meta.json of SOG). Writing is refused under the format's code.
+meta.json of SOG). decoded gives clouds of PLY and SPZ files instead of raw rows. Writing is refused under the format's
+code.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from pyspark.sql import SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from splatframe.operators.diagnostics import code_of
-from splatframe.sources import files, ply, sog, spz
+from splatframe.sources import decoded, files, ply, sog, spz
 from splatframe.sources.errors import SourceError
 
 #: Rows of a PLY file that one task reads.
-ROWS = 1 << 20
+ROWS = 1 << 15
 PREFIX = 1 << 20
 
 
@@ -47,6 +48,7 @@ class SplatReader(DataSourceReader):
         self.kind, self.path = kind, options["path"]
         self.meta_only = options.get("metadataonly", "false").lower() == "true"
         self.rows = int(options.get("rowspertask", ROWS))
+        self.decoded = options.get("decoded", "false").lower() == "true"
 
     def partitions(self) -> list[Part]:
         paths = listed(self.path, {"ply": (".ply",), "spz": (".spz",), "sog": (".sog", "/meta.json")}[self.kind])
@@ -66,7 +68,7 @@ class SplatReader(DataSourceReader):
         elif self.kind == "ply":
             yield from self.ply_range(path, partition.first, partition.n)
         elif self.kind == "spz":
-            yield from files.spz_batches(path, prefix(path, -1))
+            yield from (decoded if self.decoded else files).spz_batches(path, prefix(path, -1))
         else:
             folder = os.path.dirname(path)
             beside = lambda name: prefix(f"{folder}/{name}", sog.ENTRY_LIMIT) if os.path.isfile(f"{folder}/{name}") else None
@@ -75,19 +77,18 @@ class SplatReader(DataSourceReader):
     def header(self, path: str) -> pa.RecordBatch:
         return files.metadata_batch(path, prefix(path, -1 if path.lower().endswith(".sog") else sog.META_LIMIT if path.endswith(".json") else PREFIX), os.path.getsize(path))
 
-    @staticmethod
-    def ply_range(path: str, first: int, n: int) -> Iterator[pa.RecordBatch]:
+    def ply_range(self, path: str, first: int, n: int) -> Iterator[pa.RecordBatch]:
         h = ply.parse_header(prefix(path))
-        n_rest = ply.layout(h)[1]
+        n_rest, rows_of = ply.layout(h)[1], decoded.ply_batches if self.decoded else files.ply_columns
         if n == h.count or h.encoding == "ascii" or h.before:
-            yield from files.ply_batches(path, prefix(path, -1))
+            yield from rows_of(path, 0, *ply.read_columns(prefix(path, -1), h, n_rest))
             return
         width = sum(np.dtype(ply.TYPES[t]).itemsize for _, t in h.properties)
         with open(path, "rb") as f:
             f.seek(h.length + first * width)
             data = f.read(n * width)
         part = ply.Header(h.encoding, n, h.properties, 0)
-        yield from files.ply_columns(path, first, *ply.read_columns(data, part, n_rest))
+        yield from rows_of(path, first, *ply.read_columns(data, part, n_rest))
 
 
 class _Splats(DataSource):
@@ -98,7 +99,8 @@ class _Splats(DataSource):
         return f"splat_{cls.kind}"
 
     def schema(self) -> str:
-        return files.META if self.options.get("metadataOnly", "false").lower() == "true" else {"ply": files.PLY_RAW, "spz": files.SPZ_RAW, "sog": files.SOG_RAW}[self.kind]
+        on = lambda name: self.options.get(name, "false").lower() == "true"
+        return files.META if on("metadataOnly") else decoded.CLOUD if on("decoded") and self.kind != "sog" else {"ply": files.PLY_RAW, "spz": files.SPZ_RAW, "sog": files.SOG_RAW}[self.kind]
 
     def reader(self, schema) -> SplatReader:
         return SplatReader(self.kind, {k.lower(): v for k, v in self.options.items()})
