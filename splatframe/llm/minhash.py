@@ -229,7 +229,7 @@ def without_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int =
     found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), "text"), words, percent).select(F.col("doc_id").alias(key), "component_id")
     found = written(found.join(keyed.select(key, F.col("doc_id").cast("long").alias("id")), key))
     first = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", key))[key].alias(key))
-    gone = found.select(key).join(first, key, "left_anti")
+    gone = written(found.select(key).join(first, key, "left_anti"))  # its size is known then: texts are shuffled only where ids are too many to broadcast
     return keyed.join(gone, key, "left_anti").select(*docs.columns)
 
 
