@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import io
 import re
@@ -14,11 +15,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Bytes of text in one block; a longer document is a block of its own.
 BLOCK_BYTES = 8 << 20
 #: Keys of one count shard; the number of shards follows from the size of the input.
 SHARD_KEYS = 1 << 21
+_LIBC = ctypes.CDLL(None)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -114,6 +117,13 @@ def grouped(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     return uniq, first, inverse, np.diff(np.append(starts, len(keys)))
 
 
+def trim() -> None:
+    """Gives memory that was freed back to the system: idle Python workers keep it otherwise, next to those at work."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_LIBC, "malloc_trim"):
+        _LIBC.malloc_trim(0)
+
+
 def text_bytes(text: str | None) -> bytes:
     """UTF-8; null counts as empty, and a lone surrogate as '?'."""
     return (text or "").encode("utf-8", "replace")
@@ -202,6 +212,8 @@ class Blocks:
                     held.append(batch.slice(at))
             if held and (out := done()) is not None:
                 yield out
+            held.clear()
+            trim()
 
         return self.docs.mapInArrow(run, schema)
 
@@ -273,6 +285,7 @@ def handed_back(names: list[str], parts: list[np.ndarray], shard: int, back: np.
     for p in parts:
         out.append(pack_ints(back[at : at + len(p)]))
         at += len(p)
+    trim()
     return pa.table({"block": pa.array(names, pa.string()), "shard": pa.array([shard] * len(names), pa.int64()), "totals": pa.array(out, pa.binary())})
 
 
@@ -324,7 +337,9 @@ def answered(blocks: Blocks, totals_: DataFrame, use: Callable[[pa.Table, np.nda
             raise RuntimeError("a block was not made again as it was: docs changed between two readings")
         order = np.argsort(np.asarray(right.column("shard"))) if right.num_rows else []
         got = right.column("totals").to_pylist() if right.num_rows else []
-        return use(opened(zstandard.decompress(left.column("payload")[0].as_py())), unpack([got[i] for i in order]), left.column("block")[0].as_py())
+        out = use(opened(zstandard.decompress(left.column("payload")[0].as_py())), unpack([got[i] for i in order]), left.column("block")[0].as_py())
+        trim()
+        return out
 
     return blocks.rows().groupBy("block").cogroup(totals_.groupBy("block")).applyInArrow(run, schema)
 

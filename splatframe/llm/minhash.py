@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import components, splitmix, table, text_bytes, with_row_key, written
+from splatframe.llm.common import components, splitmix, table, text_bytes, trim, with_row_key, written
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 56, 6
@@ -96,6 +96,7 @@ def features(docs: DataFrame, words: int, n_bands: int = BANDS, rows: int = ROWS
                 b.append(int(digest[1]))
                 keys.append(bands(s, n_bands, rows).view(np.int64) if len(s) else np.zeros(0, np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "set_a", "set_b", "bands"])
+        trim()
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>")
 
@@ -112,7 +113,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int = PERC
     """Those pairs (a, b) whose full sets are similar enough; texts: (node, z)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        @functools.lru_cache(256)
+        @functools.lru_cache(16)  # bounds memory by so many of the longest texts' sets
         def full(z: bytes) -> np.ndarray:
             return shingle_set(zstandard.decompress(z).decode(), words)
 
@@ -123,6 +124,8 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int = PERC
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 keep.append(len(p) > 0 and 100 * both >= percent * (len(p) + len(q) - both))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        full.cache_clear()
+        trim()
 
     with_b = pairs.join(texts.select(F.col("node").alias("b"), F.col("z").alias("zb")), "b")
     return with_b.join(texts.select(F.col("node").alias("a"), F.col("z").alias("za")), "a").mapInArrow(run, "a long, b long")
