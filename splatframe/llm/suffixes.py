@@ -33,7 +33,8 @@ from splatframe.llm.common import Blocks, answered, ask, free_name, grouped, sha
 from splatframe.llm.cover import Fingerprints, difference_cover
 
 LENGTH = 400
-#: Bytes of text in a block of the first and of the second step, where each byte may start a suffix to sort.
+#: Bytes of text in a block of the first and of the second step, where each byte may start a suffix to sort; less in
+#: proportion for shorter lengths, which have more samples and more ties a byte.
 BLOCK_BYTES, TIED_BYTES = 3 << 20, 2 << 20
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 
@@ -85,6 +86,7 @@ def distinct(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nd
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row: n_bytes, n_removed, n_spans, kept_sha256, and the removed spans in bytes."""
     v, need = modulus(length), length - modulus(length) + 1
+    block_bytes, tied_bytes = (max(1 << 18, size * min(length, LENGTH) // LENGTH) for size in (BLOCK_BYTES, TIED_BYTES))
 
     def texts_of(rows: pa.Table) -> Texts:
         return Texts([text_bytes(t) for t in rows.column("text").to_pylist()])
@@ -152,16 +154,16 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     docs = steady(docs.select(F.col("doc_id").cast("long"), "text"))
     n_bytes = text_total(docs)
-    blocks = Blocks(docs, BLOCK_BYTES)
+    blocks = Blocks(docs, block_bytes)
     shards = shards_for(n_bytes, 1.2 * len(difference_cover(v)) / v)
-    ranks = totals(ask(blocks, sample_keys, shards), shards, n_bytes // BLOCK_BYTES + 1, elect=True)
+    ranks = totals(ask(blocks, sample_keys, shards), shards, n_bytes // block_bytes + 1, elect=True)
     rows = written(answered(blocks, ranks, candidates, "doc_id long, n_bytes long, sha256 string, weight long, places array<long>, text binary"))
     tied = rows.filter("text is not null")
     n_tied = text_total(tied, "n_bytes")
-    open_ = Blocks(tied.select("doc_id", "n_bytes", "weight", "places", "text"), TIED_BYTES, level=1, size="n_bytes")
+    open_ = Blocks(tied.select("doc_id", "n_bytes", "weight", "places", "text"), tied_bytes, level=1, size="n_bytes")
     done = rows.filter("text is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
     shards = shards_for(n_tied, 0.8)
-    again = totals(ask(open_, window_keys, shards), shards, n_tied // TIED_BYTES + 1)
+    again = totals(ask(open_, window_keys, shards), shards, n_tied // tied_bytes + 1)
     return done.unionByName(answered(open_, again, cut, RESULT))
 
 
