@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from splatframe.llm.common import table, written
 
 CAPACITY, END_ID = 4096, 1
-#: Hash groups in which pieces of one length are numbered, so that a common length is not numbered by one task.
-RANK_GROUPS = 16
+#: Hash groups in which pieces of one length are numbered: so many, or more where a group would hold more than RANK_ROWS
+#: pieces, so that a common length is not numbered by one task and groups don't grow with the input.
+RANK_GROUPS, RANK_ROWS = 16, 1 << 18
 CACHED_WORDS = 600_000
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -160,11 +161,14 @@ def plan(counts: dict[int, int], capacity: int = CAPACITY) -> tuple[list[tuple[i
 
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """Adds sequence_id and offset to pieces that have doc_id, piece and length."""
-    parts = parts.withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(RANK_GROUPS)).cast("int"))
+    counts = {r["length"]: r["count"] for r in parts.groupBy("length").count().collect()}  # a row per length: `capacity` at most
+    groups = parts.sparkSession.createDataFrame([(n, max(RANK_GROUPS, -(-c // RANK_ROWS))) for n, c in counts.items()], "length long, _groups long")
+    names = parts.columns
+    parts = parts.join(F.broadcast(groups), "length").withColumn("_group", F.pmod(F.xxhash64("doc_id", "piece"), F.col("_groups"))).select(*names, "_group")
     sizes = parts.groupBy("length", "_group").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("length").orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     sizes = written(sizes.select("length", "_group", "_n", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")))
-    runs, _ = plan({r[0]: r[1] for r in sizes.groupBy("length").agg(F.sum("_n")).collect()}, capacity)  # a row per length at most
+    runs, _ = plan(counts, capacity)
     runs = np.array(sorted(runs), np.int64).reshape(-1, 5)
     starts = runs[:, 0] << 44 | runs[:, 1]
 
@@ -175,7 +179,6 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
             out = {c: batch.column(c) for c in names} | {"sequence_id": pa.array(runs[at, 3] + rank - runs[at, 1]), "offset": pa.array(runs[at, 4])}
             yield pa.RecordBatch.from_pydict(out)
 
-    names = [c for c in parts.columns if c != "_group"]
     order = Window.partitionBy("length", "_group").orderBy("doc_id", "piece")
     ranked = parts.withColumn("_in", F.row_number().over(order)).join(sizes.drop("_n"), ["length", "_group"]).withColumn("_rank", F.col("_before") + F.col("_in") - 1)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in parts.schema if f.name in names) + ", sequence_id long, offset long"

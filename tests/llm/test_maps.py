@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from string import ascii_letters, ascii_uppercase, digits
 
 import numpy as np
 import pytest
@@ -94,6 +95,17 @@ def test_packing_of_documents(spark):
     assert packing.pack_documents(frame(spark).limit(0), path).count() == 0
 
 
+def test_packing_numbers_a_common_length_in_groups(spark, monkeypatch):
+    monkeypatch.setattr(packing, "RANK_GROUPS", 2)
+    monkeypatch.setattr(packing, "RANK_ROWS", 7)
+    lengths = [1500] * 200 + [10] * 90 + [4096] * 3 + list(range(1, 60))
+    parts = spark.createDataFrame([(k, 0, n) for k, n in enumerate(lengths)], "doc_id long, piece int, length long")
+    rows = packing.pack(parts).collect()
+    assert sorted(r.length for r in rows) == sorted(lengths)
+    check_packing(rows)
+    assert packing.pack(parts.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_packing_plan_is_gapless_and_near_the_bound(seed):
     rnd = random.Random(seed)
@@ -199,6 +211,59 @@ def test_secret_spans(spark):
     assert "AKIA" not in clean[0].text and clean[0].n_chars == len(clean[0].text) and clean[1].text is None
 
 
+def slow_base(text):
+    """(kind, start, end) of the base patterns, character by character."""
+    value, alnum, out = set(ascii_letters + digits + "+/_.=-"), set(ascii_uppercase + digits), []
+
+    def after(i, chars):
+        while i < len(text) and text[i] in chars:
+            i += 1
+        return i
+
+    i = 0
+    while i < len(text):
+        low = "".join(c.lower() if c in ascii_uppercase else c for c in text[i : i + 8])
+        word = next((w for w in ("password", "passwd", "secret", "token", "api_key", "apikey") if low.startswith(w)), None)
+        if word:
+            j = i + len(word)
+            j = after(j + (text[j : j + 1] in ('"', "'")), " ")
+            if text[j : j + 1] in (":", "="):
+                j = after(j + 1, " ")
+                j += text[j : j + 1] in ('"', "'")
+                if (end := after(j, value)) > j:
+                    out += [("assign", i, end)] if end - j >= 12 else []
+                    i = end
+                    continue
+        i += 1
+    i = 0
+    while (i := text.find("AKIA", i)) >= 0:
+        end = after(i + 4, alnum)
+        out += [("access", i, end)] if end - i >= 18 else []
+        i = end if end > i + 4 else i + 1
+    i = 0
+    while i < len(text):
+        end = after(i, set("0123456789abcdef"))
+        out += [("hex", i, end)] if end - i >= 16 else []
+        i = max(end, i + 1)
+    return sorted(out, key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+
+
+def test_secret_query_against_a_scanner(spark, tmp_path):
+    rnd = random.Random(7)
+    bits = ["password", "Passwd", "SECRET", "token", "api_key", "ApiKey", '"', "'", " ", "  ", ":", "=", "AKIA", "ABCDEFGHIJKLMN", "deadbeef", "0123456789ab", "aB3/xY9+kLmN0pQr", "é", "ſ", "\n", "x", ".-_"]
+    texts = [None, "", *("".join(rnd.choice(bits) for _ in range(rnd.randrange(1, 25))) for _ in range(400)), "token=" + "a" * 200_000]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = {r.doc_id: r for r in secrets.query(spark, f"file://{tmp_path}").collect()}
+    assert len(got) == len(texts)
+    cost = secrets.GuessCost()
+    for k, text in enumerate(texts):
+        base = slow_base(text or "")
+        joined = lambda found: ",".join(f"{kind}:{a}:{b}" for kind, a, b in found)
+        assert got[k].base_sha256 == hashlib.sha256(joined(base).encode()).hexdigest(), text
+        assert [got[k].n_assign, got[k].n_access, got[k].n_hex] == [sum(s[0] == kind for s in base) for kind in secrets.KINDS[:3]]
+        assert got[k].spans == joined(secrets.spans(text or "", cost)) and set(joined(base).split(",")) <= {*got[k].spans.split(","), ""}
+
+
 def slow_cost(cost, value):
     """Every segmentation tried."""
     parts = [(i, i + 1, cost.brute(c)) for i, c in enumerate(value)] + [(i, j, c + 0.3) for i, j, c in cost.segments(value)]
