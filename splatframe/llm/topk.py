@@ -42,7 +42,8 @@ def integers(values: list) -> np.ndarray | None:
 
 
 def packed(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
-    """(n, ids, width, exact): rows of vectors in blocks; exact is int64 or, for huge values, decimal text."""
+    """(n, ids, width, item, cells, exact): rows of vectors in blocks; exact holds integers of `item` bytes, as few as hold
+    the block's values, or (item 0) decimal text of values beyond 64 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,10 +59,11 @@ def packed(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                 m = np.zeros((len(part), width), object if wide else np.int64)
                 for r, x in enumerate(part):
                     m[r, : len(x)] = x
-                exact = ("," + ",".join(map(str, m.ravel()))).encode() if wide else m.tobytes()
-                yield pa.RecordBatch.from_pydict({"n": [len(part)], "ids": [np.array(ids[a : a + BLOCK], np.int64).tobytes()], "width": [width], "cells": [cells(m)], "exact": [exact]}, schema=pa.schema([("n", pa.int64()), ("ids", pa.binary()), ("width", pa.int32()), ("cells", pa.binary()), ("exact", pa.binary())]))
+                kind = None if wide else next(t for t in map(np.dtype, ("i1", "i2", "i4", "i8")) if np.iinfo(t).min <= m.min() and m.max() <= np.iinfo(t).max)
+                exact = ",".join(map(str, m.ravel())).encode() if wide else m.astype(kind).tobytes()
+                yield pa.RecordBatch.from_pydict({"n": [len(part)], "ids": [np.array(ids[a : a + BLOCK], np.int64).tobytes()], "width": [width], "item": [0 if wide else kind.itemsize], "cells": [cells(m)], "exact": [exact]}, schema=pa.schema([("n", pa.int64()), ("ids", pa.binary()), ("width", pa.int32()), ("item", pa.int32()), ("cells", pa.binary()), ("exact", pa.binary())]))
 
-    return vectors.select(F.col(id_col).cast("long"), F.col(vec_col)).mapInArrow(run, "n long, ids binary, width int, cells binary, exact binary")
+    return vectors.select(F.col(id_col).cast("long"), F.col(vec_col)).mapInArrow(run, "n long, ids binary, width int, item int, cells binary, exact binary")
 
 
 def cells(m: np.ndarray) -> bytes:
@@ -84,10 +86,10 @@ def cell_edges(data: bytes, n: int, width: int) -> tuple[np.ndarray, np.ndarray]
     return low + code * step - slack, low + (code + 1.0) * step + slack
 
 
-def exact_matrix(data: bytes, n: int, width: int) -> np.ndarray:
-    if data[:1] == b"," and len(data) != 8 * n * width:
-        return np.array([int(x) for x in data[1:].split(b",")], object).reshape(n, width)
-    return np.frombuffer(data, np.int64).reshape(n, width)
+def exact_matrix(data: bytes, n: int, width: int, item: int) -> np.ndarray:
+    if not item:
+        return np.array([int(x) for x in data.split(b",")], object).reshape(n, width)
+    return np.frombuffer(data, f"i{item}").astype(np.int64).reshape(n, width)
 
 
 def widened(m: np.ndarray, width: int) -> np.ndarray:
@@ -133,14 +135,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vec_co
             width = max(max(asks.column("width").to_pylist()), max(held.column("width").to_pylist()))
             v, low, high, v_ids = [], [], [], []
             for r in held.to_pylist():
-                v.append(widened(exact_matrix(r["exact"], r["n"], r["width"]), width))
+                v.append(widened(exact_matrix(r["exact"], r["n"], r["width"], r["item"]), width))
                 lo, hi = cell_edges(r["cells"], r["n"], r["width"])
                 low.append(widened(lo, width))
                 high.append(widened(hi, width))
                 v_ids.append(np.frombuffer(r["ids"], np.int64))
             v, low, high, v_ids = (np.concatenate(x) for x in (v, low, high, v_ids))
             for r in asks.to_pylist():
-                q = widened(exact_matrix(r["exact"], r["n"], r["width"]), width)
+                q = widened(exact_matrix(r["exact"], r["n"], r["width"], r["item"]), width)
                 for i, ids, scores in search(np.frombuffer(r["ids"], np.int64), q, v_ids, low, high, v, k):
                     out += [(i, int(j), s) for j, s in zip(ids, scores, strict=True)]
         cut = lambda s: max(-(2**63), min(2**63 - 1, s))

@@ -151,6 +151,14 @@ def test_top_k_is_exact(spark, scale):
     assert topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("edge", [127, 128, -128, -129, 32767, 32768, -32769, 2**31 - 1, 2**31, -(2**31) - 1])
+def test_top_k_at_the_edges_of_integer_types(spark, edge):
+    rows = [(k, [edge / 64 if k % 3 else -edge / 64, k / 64, 1.0]) for k in range(12)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, df.filter("vec_id % 2 = 0"), k=4).collect())
+    assert got == slow_search(rows, 4)
+
+
 def test_top_k_beyond_64_bits(spark):
     rows = [(i, [1e37 * (i - 3), 1.0]) for i in range(8)]
     got = topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), spark.createDataFrame(rows[6:7], "vec_id long, embedding array<float>"), k=3).collect()
