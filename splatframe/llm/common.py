@@ -174,45 +174,57 @@ class Blocks:
 
     A block is filled by the bytes of its texts before compression (or by the column `size`); a longer text is a block
     of its own. It is named by its place in docs and a digest of its rows, so it has the same name whenever it is made
-    again (docs must be steady()), and nothing is written for that.
+    again (docs must be steady()), and nothing is written for that. Rows for which deal(batch) is true and others
+    are in different blocks.
     """
 
-    def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES, level: int = 9, size: str | None = None) -> None:
-        self.docs, self.block_bytes, self.level, self.size = docs, block_bytes, level, size
+    def __init__(self, docs: DataFrame, block_bytes: int = BLOCK_BYTES, level: int = 9, size: str | None = None, deal: Callable[[pa.RecordBatch], np.ndarray] | None = None) -> None:
+        self.docs, self.block_bytes, self.level, self.size, self.deal = docs, block_bytes, level, size, deal
 
     def over(self, use: Callable[[str, pa.Buffer], pa.RecordBatch | None], schema: str) -> DataFrame:
         """The rows that use(name, Arrow stream of the block) makes of each block."""
-        block_bytes, size = self.block_bytes, self.size
+        block_bytes, size, deal = self.block_bytes, self.size, self.deal
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: list[pa.RecordBatch] = []
-            filled = made = 0
+            held: tuple[list[pa.RecordBatch], list[pa.RecordBatch]] = ([], [])
+            filled, made = [0, 0], 0
 
-            def done() -> pa.RecordBatch | None:
+            def done(rows: list[pa.RecordBatch]) -> pa.RecordBatch | None:
                 out = io.BytesIO()
-                with pa.ipc.new_stream(out, held[0].schema) as w:
-                    for b in held:
+                with pa.ipc.new_stream(out, rows[0].schema) as w:
+                    for b in rows:
                         w.write_batch(b)
+                rows.clear()
                 data = pa.py_buffer(out.getbuffer())
                 return use(f"{hashlib.blake2b(data, digest_size=8).hexdigest()}-{TaskContext.get().partitionId()}-{made}", data)
 
-            for batch in batches:
-                at = 0
-                column = batch.column(size) if size else pa.compute.binary_length(batch.column("text"))
-                sizes = np.asarray(pa.compute.fill_null(column, 0)) if batch.num_rows else np.zeros(0)
-                for i, n in enumerate(sizes):
-                    if filled and filled + int(n) > block_bytes:
-                        if i > at:
-                            held.append(batch.slice(at, i - at))
-                        if (out := done()) is not None:
-                            yield out
-                        held, filled, made, at = [], 0, made + 1, i
-                    filled += int(n)
-                if batch.num_rows > at:
-                    held.append(batch.slice(at))
-            if held and (out := done()) is not None:
-                yield out
-            held.clear()
+            def parts(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+                if deal is None:
+                    yield 0, batch
+                elif batch.num_rows:
+                    ones = deal(batch)
+                    yield 0, batch.filter(pa.array(~ones))
+                    yield 1, batch.filter(pa.array(ones))
+
+            for whole in batches:
+                for k, batch in parts(whole):
+                    at = 0
+                    column = batch.column(size) if size else pa.compute.binary_length(batch.column("text"))
+                    sizes = np.asarray(pa.compute.fill_null(column, 0)) if batch.num_rows else np.zeros(0)
+                    for i, n in enumerate(sizes):
+                        if filled[k] and filled[k] + int(n) > block_bytes:
+                            if i > at:
+                                held[k].append(batch.slice(at, i - at))
+                            if (out := done(held[k])) is not None:
+                                yield out
+                            filled[k], made, at = 0, made + 1, i
+                        filled[k] += int(n)
+                    if batch.num_rows > at:
+                        held[k].append(batch.slice(at))
+            for rows in held:
+                if rows and (out := done(rows)) is not None:
+                    yield out
+                made += 1
             trim()
 
         return self.docs.mapInArrow(run, schema)

@@ -1,16 +1,18 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text, and thresholds by language.
 
-The model is one of characters (code points, digits as 0), of ORDER of them. Each language's is trained on labelled
-trusted documents: every other one of SAMPLE, if there are more; all others are held out for the thresholds. Counts, continuation
+The model is one of characters (code points, digits as 0), of ORDER of them. Each language has two, fitted crosswise:
+documents fall into two folds by the hash of their ids, every labelled trusted document trains the model of its fold,
+and every document is scored by the model of the other fold. So all trusted documents train, and all are held out for
+the thresholds. Counts, continuation
 counts and discounts are group-bys and joins; the result is a table of n-grams with the discounted share of each
 (as an n-gram) and its backoff weight (as a context), partitioned by hash. Blocks of documents send their distinct
 n-grams to these shards, get both numbers back, and sum log probabilities per document over whole texts.
 
 A document is rejected where its mean negative log probability, less SHORT / sqrt(characters) as short texts scatter,
-is above its language's threshold: the QUANTILE of that number over the language's held-out trusted documents, plus
+is above its language's threshold: the QUANTILE of that number over all of the language's trusted documents, plus
 MARGIN nats.
-Languages with fewer than LEAST trusted documents (and null) share the model and threshold of all languages together,
-which are made likewise from all trusted documents, scored by that model.
+Languages with fewer than LEAST trusted documents (and null) share the models and threshold of all languages together,
+which are made likewise from all trusted documents, scored by those models.
 
 Null and empty texts have no score and are kept, since nothing speaks against them; so is everything where no
 document is labelled. Rows are scored one by one, so repeated rows get equal results. An empty table gives an empty
@@ -21,7 +23,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,21 +33,23 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
-from splatframe.llm.common import Blocks, answered, ask, grouped, shard_of, splitmix, steady, table, text_total, unpack_sorted, written
+from splatframe.llm.common import Blocks, answered, ask, grouped, shard_of, splitmix, steady, table, text_total, trim, unpack_sorted, written
 
 ORDER, ALPHABET = 4, 4096
-SAMPLE, LEAST = 4000, 40
+LEAST = 40
 QUANTILE, MARGIN, SHORT = 0.995, 0.1, 4.0
 EVERY = "*"
 PAD = "\x02"
 BLOCK_BYTES = 3 << 20
-#: Distinct n-grams that a worker counts before it hands them on to be summed.
-COUNTED = 1 << 16
+#: Distinct n-grams that a worker counts before it hands them on to be summed, and characters it counts at once.
+COUNTED, COUNTED_CHARS = 1 << 18, 1 << 20
+#: Ids of trusted documents that are broadcast to their texts; beyond, texts are shuffled once to meet them.
+BROADCAST_IDS = 6 << 20
 #: N-grams of the model in one shard, and bytes of text that ask one copy of it.
 SHARD_GRAMS, SALT_BYTES = 1 << 18, 4 << 30
 DIGITS = re.compile(r"[0-9]")
 STEP = np.uint64(0x100000001B3)
-#: Keys have 56 bits: the samples bound each model, so another n-gram meets one of its keys with probability 2^-35.
+#: Keys have 56 bits: with 2^21 n-grams in the models, another one meets one of their keys with probability 2^-35.
 KEY_BITS = ~np.uint64(0xFF)
 
 
@@ -73,24 +76,49 @@ def discounts(row) -> list[float]:
     return [min(k - 0.01, max(0.05, k - (k + 1) * y * n[k] / n[k - 1])) if n[k - 1] and n[k] else k / 2 for k in (1, 2, 3)]
 
 
-def model(texts: DataFrame, order: int = ORDER) -> DataFrame:
-    """(lang, gram, direct, gamma) from (lang, text): each n-gram's discounted share and its weight as a context."""
+def gram_counts(texts: DataFrame, order: int = ORDER, counted: int = COUNTED, at_once: int = COUNTED_CHARS) -> DataFrame:
+    """(lang, gram, c) from (lang, text): occurrences of all ORDER-grams."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter = Counter()
         for batch in batches:
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                t = PAD * (order - 1) + plain(text or "")
-                found.update((lang, t[i : i + order]) for i in range(len(t) - order + 1))
-            if len(found) > COUNTED:
-                yield out(found)
-                found = Counter()
-        yield out(found)
-
-    def out(found: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pydict({"lang": pa.array([k[0] for k in found], pa.string()), "gram": pa.array([k[1] for k in found], pa.string()), "c": pa.array(list(found.values()), pa.int64())})
-
-    level = written(texts.select("lang", "text").mapInArrow(count, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c")))
+            found = None
+            langs = sorted(set(batch.column("lang").to_pylist()))
+            place = {lang: i for i, lang in enumerate(langs)}
+            ends = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.utf8_length(batch.column("text")), 0)))
+            at = 0
+            while at < batch.num_rows:
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + at_once, "right")))
+                g = Grams(batch.slice(at, to - at), frozenset(langs), order)
+                code = g.codes, g.counts, g.points[g.ends[:, None] + np.arange(-order, 0)], np.array([place[x] for x in g.langs], np.int32)[g.doc]
+                found, at = (code if found is None else [np.concatenate(x) for x in zip(found, code, strict=True)]), to
+                if len(found[0]) > counted:
+                    found = added(*found)
+                    if len(found[0]) > counted // 2:
+                        yield out(langs, *found)
+                        found = None
+            if found is not None:
+                yield out(langs, *added(*found))
+        trim()
+
+    def added(codes: np.ndarray, counts: np.ndarray, chars: np.ndarray, of: np.ndarray) -> list[np.ndarray]:
+        uniq, first, inverse, _ = grouped(codes)
+        return [uniq, np.bincount(inverse, counts, len(uniq)).astype(np.int64), chars[first], of[first]]
+
+    def out(langs: list[str], codes: np.ndarray, counts: np.ndarray, chars: np.ndarray, of: np.ndarray) -> pa.RecordBatch:
+        joined = np.ascontiguousarray(chars, "<u4").tobytes().decode("utf-32-le")
+        grams = [joined[i : i + order] for i in range(0, len(joined), order)]
+        return pa.RecordBatch.from_pydict({"lang": pa.array(langs, pa.string()).take(pa.array(of)), "gram": pa.array(grams, pa.string()), "c": pa.array(counts)})
+
+    return texts.select("lang", "text").mapInArrow(count, "lang string, gram string, c long").groupBy("lang", "gram").agg(F.sum("c").alias("c"))
+
+
+def model(texts: DataFrame, order: int = ORDER) -> DataFrame:
+    """(lang, gram, direct, gamma) from (lang, text): each n-gram's discounted share and its weight as a context."""
+    return model_of(written(gram_counts(texts, order)), order)
+
+
+def model_of(level: DataFrame, order: int = ORDER) -> DataFrame:
+    """model() from what gram_counts() found."""
     direct = gamma = None
     for n in range(order, 0, -1):
         of = {r["lang"]: discounts(r) for r in level.groupBy("lang").agg(*[F.count_if(F.col("c") == k).alias(f"n{k}") for k in range(1, 5)]).collect()}  # a row per language
@@ -116,10 +144,11 @@ class Grams:
     def __init__(self, rows: pa.Table, known: frozenset[str], order: int) -> None:
         self.order = order
         texts = [PAD * (order - 1) + plain(t or "") for t in rows.column("text").to_pylist()]
+        self.langs = rows.column("lang").to_pylist()
         self.points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
         sizes = np.array([len(t) for t in texts], np.int64)
         self.chars = sizes - (order - 1)
-        seeds = np.array([seed(x if x in known else EVERY) for x in rows.column("lang").to_pylist()], np.uint64)
+        seeds = np.array([seed(x if x in known else EVERY) for x in self.langs], np.uint64)
         begin = np.cumsum(sizes) - sizes
         ends = np.concatenate([np.arange(b + order, b + s + 1, dtype=np.int32) for b, s in zip(begin, sizes, strict=True)]) if len(sizes) else np.zeros(0, np.int32)
         code = np.repeat(splitmix(seeds), self.chars)
@@ -128,9 +157,10 @@ class Grams:
             code += self.points[ends - k]
         del texts
         code = splitmix(code)
-        _, first, self.inverse, _ = grouped(code)
+        self.codes, first, self.inverse, self.counts = grouped(code)
         del code
-        self.ends, self.seeds = ends[first], np.repeat(seeds, self.chars)[first]
+        self.ends, self.doc = ends[first], np.repeat(np.arange(len(sizes), dtype=np.int32), self.chars)[first]
+        self.seeds = seeds[self.doc]
 
     def levels(self) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """Keys of the n-grams of 1..order characters, and of the contexts of 0..order-1, of the distinct pairs."""
@@ -225,23 +255,12 @@ def scored(docs: DataFrame, weights: DataFrame, known: frozenset[str], order: in
         return pa.table({"doc_id": rows.column("doc_id"), "lang": pa.array(lang, pa.string()), "chars": pa.array(g.chars), "nats": pa.array(nats / np.maximum(g.chars, 1), mask=g.chars == 0), **{c: rows.column("text" if c == "_text" else c) for c in passed}})
 
     docs = steady(docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("lang"), "text", *extra))
-    blocks = Blocks(docs, BLOCK_BYTES)
+    blocks = Blocks(docs, BLOCK_BYTES, deal=lambda batch: np.array([(x or "").endswith(":1") for x in batch.column("lang").to_pylist()], bool))
     shards, salts = max(16, weights.count() // SHARD_GRAMS + 1), text_total(docs) // SALT_BYTES + 1
     found = looked_up(ask(blocks, keys_of, shards, fan=shards), weights, shards, salts)
     return answered(blocks, found, use, schema, unpack=unpack_pairs)
 
 
-def sampled(pairs: DataFrame, sizes: dict[str, int], sample: int) -> DataFrame:
-    """(lang, doc_id) to train on: of the `sample` ids of smallest hash of each model of sizes every other one."""
-    if not sizes:
-        return pairs.select("lang", "doc_id").limit(0)
-    place = F.xxhash64("doc_id") / F.lit(2.0**64) + 0.5
-    share = F.create_map(*[F.lit(x) for lang, n in sizes.items() for x in (lang, (1.2 * sample + 100) / n)])[F.col("lang")]
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    few = pairs.filter(place <= share)  # somewhat more than are ranked, so that no group grows with the input
-    return few.withColumn("rank", rank).filter((F.col("rank") <= sample) & (F.col("rank") % 2 == 1)).select("lang", "doc_id")
-
-
 def quantiles(values: DataFrame, quantile: float) -> dict[str, float]:
     """Each language's exact quantile of (lang, value), between ranks as percentile() has it.
 
@@ -261,26 +280,40 @@ def quantiles(values: DataFrame, quantile: float) -> dict[str, float]:
     return {r["lang"]: r["low"] + (r["high"] - r["low"]) * (r["at"] - math.floor(r["at"])) for r in found}
 
 
-def judged(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, quantile: float = QUANTILE, margin: float = MARGIN, short: float = SHORT) -> DataFrame:
-    """(doc_id, lang, chars, nats, threshold, kept) for every row, with what scored() passes on."""
+def named(lang: Column, fold: Column) -> Column:
+    return F.concat(lang, F.lit(":"), fold.cast("string"))
+
+
+def judged(docs: DataFrame, labels: DataFrame, sample: int | None = None, quantile: float = QUANTILE, margin: float = MARGIN, short: float = SHORT) -> DataFrame:
+    """(doc_id, lang, chars, nats, threshold, kept) for every row, with what scored() passes on.
+
+    sample has no effect any more: nothing bounds the documents that train or set thresholds.
+    """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string").alias("lang"), "text", *[c for c in docs.columns if re.fullmatch(r"_\d+", c)])
     trusted = labels.filter("quality = 1 and toxic = 0").select(F.col("doc_id").cast("long"))
-    pairs = docs.select("doc_id", "lang").join(trusted, "doc_id", "left_semi")
-    pairs = written(pairs.select("doc_id", F.explode(F.array("lang", F.lit(EVERY))).alias("lang")).filter("lang is not null").distinct())
-    sizes = {r["lang"]: r["count"] for r in pairs.groupBy("lang").count().filter((F.col("lang") == EVERY) | (F.col("count") >= LEAST)).collect()}  # a row per language with a model of its own
-    known = frozenset(sizes) - {EVERY}
-    chosen = written(sampled(pairs, sizes, sample))
-    of = F.broadcast(chosen.select("doc_id", F.col("lang").alias("model")))  # at most half of `sample` ids a model
-    train = docs.join(of, "doc_id").filter((F.col("model") == EVERY) | (F.col("model") == F.col("lang"))).select(F.col("model").alias("lang"), "text")
-    weights = written(model(train))
-    scores = written(scored(docs, weights, known))
+    pairs = written(docs.select("doc_id", "lang").join(trusted, "doc_id", "left_semi").distinct())
+    known = frozenset(r["lang"] for r in pairs.groupBy("lang").count().filter(F.col("lang").isNotNull() & (F.col("count") >= LEAST)).collect())  # a row per language with models of its own
+    model_lang = F.when(F.col("lang").isin(*sorted(known)), F.col("lang")).otherwise(EVERY) if known else F.lit(EVERY)
+    fold = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    shares = not docs.filter(model_lang == EVERY).isEmpty()  # else nothing is compared with the shared models
+    ids = pairs.select("doc_id").distinct()
+    ids = F.broadcast(ids) if pairs.count() <= BROADCAST_IDS else ids
+    train = docs.select("doc_id", "lang", "text").join(ids, "doc_id", "left_semi")
+    counts = written(gram_counts(train.select(named(model_lang, fold).alias("lang"), "text")))
+    if shares:
+        every = counts.groupBy(named(F.lit(EVERY), F.substring("lang", -1, 1)).alias("lang"), "gram").agg(F.sum("c").alias("c"))
+        counts = written(counts.filter(~F.startswith("lang", F.lit(f"{EVERY}:"))).unionByName(every))
+    weights = written(model_of(counts))
+    names = frozenset(f"{lang}:{k}" for lang in known | {EVERY} for k in (0, 1))
+    unnamed = F.expr("substring(lang, 1, length(lang) - 2)").alias("lang")
+    by_other = lambda df, lang: scored(df.withColumn("lang", named(lang, 1 - fold)), weights, names)
+    scores = by_other(docs, model_lang)
+    scores = written(scores.select(*[unnamed if c == "lang" else c for c in scores.columns]))
     only = scores.select("doc_id", "lang", "chars", "nats")
     less = F.col("nats") - short / F.sqrt("chars")
-    held = pairs.join(chosen, ["doc_id", "lang"], "left_anti")
-    values = only.filter(F.col("lang") != EVERY).join(held, ["doc_id", "lang"], "left_semi")
-    if not only.filter(F.col("lang") == EVERY).isEmpty():  # else nothing is compared with the shared threshold
-        every = docs.join(held.filter(F.col("lang") == EVERY), "doc_id", "left_semi")
-        values = values.unionByName(scored(every.select("doc_id", "lang", "text"), weights, frozenset()))
+    values = only.filter(F.col("lang") != EVERY).join(pairs, ["doc_id", "lang"], "left_semi")
+    if shares:
+        values = values.unionByName(by_other(train, F.lit(EVERY)).select("doc_id", unnamed, "chars", "nats"))
     limits = quantiles(values.filter("nats is not null").select("lang", less.alias("value")), quantile)
     line = F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("lang")] + margin + short / F.sqrt("chars") if limits else F.lit(None).cast("double")
     return scores.withColumn("threshold", line).withColumn("kept", F.coalesce(F.col("nats") <= F.col("threshold"), F.lit(True)))

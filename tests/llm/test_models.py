@@ -138,6 +138,41 @@ def test_rare_language_gets_its_own_model(spark):
     assert got[got.lang == "xx"].kept.mean() > 0.9
 
 
+@pytest.mark.parametrize("share", [False, True])
+def test_all_trusted_documents_train_and_are_held_out(spark, share):
+    """Brute force: scores by models of all trusted documents of the other fold, thresholds over all of them."""
+    docs, labels = trusted_texts(spark, {"en": 90, "xx": 60, **({"yy": 9} if share else {})})
+    low = spark.createDataFrame([(5000 + k, "qzj " * (k + 1), "en") for k in range(4)], docs.schema)
+    got = {r.doc_id: r for r in kneser_ney.judged(docs.unionByName(low), labels, quantile=0.9).collect()}
+    folds = docs.unionByName(low).withColumn("f", F.pmod(F.xxhash64("doc_id"), F.lit(2))).collect()
+    for lang in ["en", "xx", "*"][: 3 if share else 2]:
+        of = [r for r in folds if lang in ("*", r.lang)]
+        want = {}
+        for f in (0, 1):
+            mine = [r for r in of if r.f == f]
+            nats = slow_scores([r.text for r in mine], [r.text for r in of if r.f != f and r.doc_id < 5000], kneser_ney.ORDER)
+            want |= {r.doc_id: (r, x) for r, x in zip(mine, nats, strict=True)}
+        values = sorted(x - kneser_ney.SHORT / math.sqrt(len(r.text)) for i, (r, x) in want.items() if i < 5000)
+        at = 0.9 * (len(values) - 1)
+        line = values[int(at)] + (values[math.ceil(at)] - values[int(at)]) * (at - int(at)) + kneser_ney.MARGIN
+        for i, (r, x) in want.items():
+            if lang == got[i].lang:
+                assert got[i].nats == pytest.approx(x, rel=1e-5)
+                assert got[i].threshold == pytest.approx(line + kneser_ney.SHORT / math.sqrt(len(r.text)), rel=1e-5)
+    assert {r.lang for r in got.values()} == ({"en", "xx", "*"} if share else {"en", "xx"})
+
+
+@pytest.mark.parametrize("counted", [1 << 18, 50])
+def test_grams_are_counted_exactly(spark, counted):
+    rows = [("en", "ab\0\0\0" * 9), ("xx", None), ("xx", ""), ("en", "\U0001f389é12"), ("xx", "\U0001f389é99"), ("en", "ab\0" * 40)]
+    got = {(r.lang, r.gram): r.c for r in kneser_ney.gram_counts(spark.createDataFrame(rows, "lang string, text string"), counted=counted, at_once=counted).collect()}
+    want = Counter()
+    for lang, t in rows:
+        p = kneser_ney.PAD * 3 + kneser_ney.plain(t or "")
+        want.update((lang, p[i : i + 4]) for i in range(len(p) - 3))
+    assert got == want
+
+
 def test_shared_threshold_is_of_the_shared_model(spark):
     docs, labels = trusted_texts(spark, {"en": 300, "yy": 30})
     own = kneser_ney.judged(docs, labels, sample=200, quantile=0.5).filter("lang = '*'").toPandas().set_index("doc_id").sort_index()
