@@ -30,13 +30,15 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import components, splitmix, table, text_bytes, trim, with_row_key, written
+from splatframe.llm.common import components, grouped, pack_ints, pack_sorted, shard_of, splitmix, table, text_bytes, trim, unpack_ints, unpack_sorted, with_row_key, written
 
 WORDS, PERCENT = 5, 80
 BANDS, ROWS = 56, 6
 STAR_ROUNDS = 2
 #: Nodes of a band that are paired outright, and nodes that a rare shingle has at most; either way no link is lost.
 FEW, RARE = 32, 8
+#: Band keys of one shard.
+BAND_KEYS = 1 << 20
 #: Hash parts by which the bound on what two sets share is summed.
 PARTS = 64
 _ROUNDS = splitmix(np.arange(2 * BANDS * ROWS, dtype=np.uint64) + np.uint64(1))
@@ -182,23 +184,69 @@ def right_of(df: DataFrame, key: str) -> DataFrame:
     return df.select(key, *[F.col(c).alias(f"{c}_b") for c in df.columns if c != key])
 
 
+def shared_bands(base: DataFrame, n_bands: int) -> DataFrame:
+    """(key, node, n) of the bands that more than one row has; base: features() as written, so that it is read twice alike.
+
+    Most bands are in one row only, so they are not rows of a join: each batch sends its keys, nodes and sizes as packed
+    arrays to shards of the keys, once. Of a key that more rows of a batch have only two are sent, as the others are
+    known to share it; so a key that a large group has doesn't fill a shard.
+    """
+    rows = base.filter("n_shingles > 0 and doc_id is not null").select("doc_id", "n_shingles", "bands")
+    shards = max(16, rows.count() * n_bands // BAND_KEYS + 1)
+
+    def sorted_keys(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
+        """Keys, nodes and sizes by key; and which are sent."""
+        lists = batch.column("bands")
+        keys, per = np.asarray(lists.flatten()).view(np.uint64), np.asarray(pa.compute.list_value_length(lists))
+        order = np.argsort(keys, kind="stable")
+        key = keys[order]
+        sent = np.ones(len(key), bool)
+        sent[2:] = key[2:] != key[:-2]
+        return [key, *(np.repeat(np.asarray(batch.column(c)), per)[order] for c in ("doc_id", "n_shingles"))], sent
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, sent = sorted_keys(batch)
+            k, node, n = (c[sent] for c in columns)
+            of = shard_of(k, shards)
+            begin = np.flatnonzero(np.diff(of, prepend=np.uint64(shards + 1)))
+            cuts = list(zip(begin, np.append(begin[1:], len(k)), strict=True)) if len(k) else []
+            packed = {name: pa.array([pack(c[a:b]) for a, b in cuts], pa.binary()) for name, c, pack in (("keys", k, pack_sorted), ("nodes", node, pack_ints), ("sizes", n, pack_ints))}
+            yield pa.RecordBatch.from_pydict({"shard": pa.array(of[begin].astype(np.int64)), **packed})
+        trim()
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns, sent = sorted_keys(batch)
+            yield pa.RecordBatch.from_pydict({name: pa.array(c[~sent].view(np.int64)) for name, c in zip(("key", "node", "n"), columns, strict=True)})
+
+    def meet(group: pa.Table) -> pa.Table:
+        k, node, n = (np.concatenate([unpack(x) for x in group.column(c).to_pylist()]) for c, unpack in (("keys", unpack_sorted), ("nodes", unpack_ints), ("sizes", unpack_ints)))
+        _, _, inverse, counts = grouped(k)
+        keep = counts[inverse] > 1
+        out = pa.table({name: pa.array(c[keep].view(np.int64)) for name, c in (("key", k), ("node", node), ("n", n))})
+        trim()
+        return out
+
+    met = rows.mapInArrow(send, "shard long, keys binary, nodes binary, sizes binary").groupBy("shard").applyInArrow(meet, "key long, node long, n long")
+    return met.unionByName(rows.mapInArrow(others, "key long, node long, n long"))
+
+
 def near_links(docs: DataFrame, words: int, percent: int = PERCENT, n_bands: int = BANDS, rows: int = ROWS) -> tuple[DataFrame, DataFrame]:
     """(doc_id, n_shingles, node) of every row, node being the smallest id with the same set (null without
     shingles); and (node, component) of the nodes that have a link to another."""
     base = written(features(docs, words, n_bands, rows))
     classes = base.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"))
     members = written(base.select("doc_id", "n_shingles", "set_a", "set_b").join(classes, ["set_a", "set_b"], "left").drop("set_a", "set_b"))
-    heads = base.join(members.filter("doc_id = node").select("doc_id").distinct(), "doc_id", "left_semi").filter("n_shingles > 0")
-    keyed = heads.select(F.explode("bands").alias("key"), F.col("doc_id").alias("node"), F.col("n_shingles").alias("n"))
-    shared = keyed.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter("lo < hi").select("key")
-    near = written(keyed.join(shared, "key"))
+    near = written(shared_bands(base, n_bands).join(members.filter("doc_id = node").select("node").distinct(), "node", "left_semi"))
+    crowd = near.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")  # of bands that only copies share, one node is left
+    near = written(near.join(crowd, "key"))
     texts = written(zipped(docs.join(near.select(F.col("node").alias("doc_id")).distinct(), "doc_id", "left_semi")))
     fits = 100 * F.least("n", "m") >= percent * F.greatest("n", "m")
     links = joined = tested = None
     # rows that share an id but not the set: a node of several classes needs no link of its own
-    crowd = near.groupBy("key").agg(F.count("*").alias("crowd"))
-    weight = near.join(crowd, "key").groupBy("node").agg(F.sum("crowd").alias("weight"))  # central documents share most
-    near = written(near.join(weight, "node"))
+    weight = near.groupBy("node").agg(F.sum("crowd").alias("weight"))  # central documents share most
+    near = written(near.drop("crowd").join(weight, "node"))
     for star in range(STAR_ROUNDS + 1):
         rows_ = near.withColumn("component", F.col("node")) if joined is None else near.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         split = rows_.groupBy("key").agg(F.max(F.struct("weight", "node", "n", "component")).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo < hi")

@@ -39,6 +39,29 @@ def test_empty_tables(spark):
     assert lm.backoff_scores(none).count() == 0
 
 
+@pytest.mark.parametrize("batch", [3, 10000])
+def test_shared_bands_are_all_found(spark, tmp_path, batch):
+    """Brute force, with a key in most rows, rows that share an id, and null ids; a row of a shard holds many keys."""
+    rnd = random.Random(4)
+    rows_ = [(None if k == 5 else k // 2 if k > 50 else k, k % 7, 0, 0, [(b << 58) + rnd.randrange(30) * 0x3A1B2C3D4E5F61 if k % 7 else 0 for b in range(-4, 4)] if k % 7 else []) for k in range(90)]
+    rows_ += [(1000 + k, 3, 0, 0, [77, 1 << 62, k]) for k in range(40)]
+    spark.createDataFrame(rows_, "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>").write.parquet(f"file://{tmp_path}/t")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    try:
+        got = Counter(tuple(r) for r in minhash.shared_bands(spark.read.parquet(f"file://{tmp_path}/t"), 8).select("key", "node", "n").collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    found = [(key, i, n) for i, n, _, _, keys in rows_ if i is not None for key in keys]
+    times = Counter(key for key, _, _ in found)
+    assert got == Counter(x for x in found if times[x[0]] > 1)
+
+
+def test_unshared_bands_are_not_shuffled_row_by_row(spark, tmp_path):
+    df = frame(spark)
+    plan = minhash.shared_bands(minhash.written(minhash.features(df, 2)), minhash.BANDS)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and plan.count("Exchange") == 1
+
+
 def test_probabilities_sum_to_one(spark):
     texts = spark.createDataFrame([("en", "abracadabra abba"), ("en", "cabbage and bread")], "lang string, text string")
     found = {(r.gram): (r.direct, r.gamma) for r in kneser_ney.model(texts).collect()}
