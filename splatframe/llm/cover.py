@@ -45,19 +45,16 @@ def _powers(base: int, n: int) -> np.ndarray:
     return out
 
 
-@functools.cache
-def _tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    return _powers(BASE, size), _powers(INVERSE, size)
-
-
 class Fingerprints:
     """64-bit polynomial fingerprints of any range of data, each in constant time."""
 
     def __init__(self, data: np.ndarray) -> None:
-        size = 1 << max(10, int(len(data)).bit_length())
-        power, self.inverse = _tables(size)
+        # powers are made anew: tables kept for each size stay in idle workers, next to those at work
+        self.inverse = _powers(INVERSE, len(data) + 1)
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(LETTERS[data] * power[: len(data)], out=self.sums[1:])
+        terms = _powers(BASE, len(data))
+        terms *= LETTERS[data]
+        np.cumsum(terms, out=self.sums[1:])
 
     def of(self, starts: np.ndarray, length: int) -> np.ndarray:
         return splitmix((self.sums[starts + length] - self.sums[starts]) * self.inverse[starts] + np.uint64(length))

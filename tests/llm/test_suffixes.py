@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from splatframe.llm import suffixes
+from splatframe.llm import cover, suffixes
 from splatframe.llm.common import Blocks, ask, pack_ints, pack_sorted, splitmix, steady, totals, unpack_ints
 from splatframe.llm.cover import difference_cover
 
@@ -52,6 +52,14 @@ def test_difference_covers(v):
     assert {(a - b) % v for a in d for b in d} == set(range(v))
 
 
+def test_fingerprints_do_not_depend_on_the_block_and_keep_no_tables():
+    """Idle workers hold what a module keeps: nothing of a block's size may stay."""
+    text = bytes(range(256)) * 9
+    prints = [cover.Fingerprints(np.frombuffer(b"x" * n + text, np.uint8)).of(np.arange(n, n + 1900), 400) for n in (0, 1, 5000, 70000)]
+    assert all((p == prints[0]).all() for p in prints) and (prints[0][:256] == prints[0][256:512]).all() and len(set(prints[0][:256])) == 256
+    assert not [k for k, f in vars(cover).items() if hasattr(f, "cache_info") and k != "difference_cover"]
+
+
 @pytest.mark.parametrize("order", ["abc", "cba", "bca"])
 def test_election_does_not_depend_on_arrival(spark, order):
     keys = {"a": [7], "b": [5, 7], "c": [5, 7, 9]}
