@@ -8,6 +8,7 @@ import io
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,8 @@ from pyspark.sql.types import StructType
 BLOCK_BYTES = 8 << 20
 #: Keys of one count shard; the number of shards follows from the size of the input.
 SHARD_KEYS = 1 << 21
+#: Bytes of an Arrow batch that goes to a Python worker with texts.
+BATCH_BYTES = 4 << 20
 _LIBC = ctypes.CDLL(None)
 
 
@@ -44,11 +47,23 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base}/scratch-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def held_conf(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def written(df: DataFrame) -> DataFrame:
-    """Writes df to a table in the shared folder and reads it back, which cuts its lineage."""
+    """Writes df to a table in the shared folder and reads it back, which cuts its lineage. The job's shuffle files are
+    deleted once it is written, not when the driver happens to collect its garbage."""
     spark = df.sparkSession
     path = scratch_dir(spark)
-    df.write.option("compression", "zstd").parquet(path)
+    with held_conf(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
+        df.write.option("compression", "zstd").parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.scratch_path = path
     return out
@@ -60,6 +75,14 @@ def discard(df: DataFrame) -> None:
     path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounds the session's Arrow batches by bytes: a batch of 10,000 texts is held by the executor and its worker all
+    the while that blocks are made of its rows. A smaller bound that is set stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key)) <= BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def free_name(docs: DataFrame, name: str) -> str:
     """name, with underscores before it until no column of docs has it."""
     there = {c.lower() for c in docs.columns}
@@ -184,6 +207,7 @@ class Blocks:
     def over(self, use: Callable[[str, pa.Buffer], pa.RecordBatch | None], schema: str) -> DataFrame:
         """The rows that use(name, Arrow stream of the block) makes of each block."""
         block_bytes, size, deal = self.block_bytes, self.size, self.deal
+        small_batches(self.docs.sparkSession)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held: tuple[list[pa.RecordBatch], list[pa.RecordBatch]] = ([], [])
@@ -278,25 +302,28 @@ def ask(blocks: Blocks, keys: Keys, shards: int, fan: int = FAN) -> DataFrame:
 ASKED, ANSWER = "block string, shard long, keys binary, counts binary", "block string, shard long, totals binary"
 
 
-def merged(group: pa.Table) -> tuple[list[str], list[np.ndarray], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Names and keys of a group's rows by name, not in the order of arrival, which changes from run to run; distinct
-    keys, their first places, each key's group and the sums of counts."""
-    names, asked_, seen = (group.column(c).to_pylist() for c in ("block", "keys", "counts"))
+def merged(group: pa.Table) -> tuple[list[str], list[int], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Names and numbers of keys of a group's rows by name, not in the order of arrival, which changes from run to run;
+    distinct keys, their first places, each key's group and the sums of counts."""
+    names, asked_, seen = group.column("block").to_pylist(), group.column("keys"), group.column("counts")
     order = sorted(range(len(names)), key=names.__getitem__)
-    parts = [unpack_sorted(asked_[i]) for i in order]
-    counts = np.concatenate([unpack_ints(seen[i]) for i in order])
-    del asked_, seen
-    uniq, first, inverse, _ = grouped(np.concatenate(parts))
-    total = np.zeros(len(uniq), np.uint64)
-    np.add.at(total, inverse, counts)
-    return [names[i] for i in order], parts, uniq, first, inverse, total
-
-
-def handed_back(names: list[str], parts: list[np.ndarray], shard: int, back: np.ndarray) -> pa.Table:
+    parts = [unpack_sorted(asked_[i].as_py()) for i in order]
+    sizes, keys = [len(p) for p in parts], np.concatenate(parts)
+    del parts
+    uniq, first, inverse, _ = grouped(keys)
+    del keys
+    total, at = np.zeros(len(uniq), np.uint64), 0
+    for i, n in zip(order, sizes, strict=True):  # counts are unpacked row by row, not held beside the keys
+        np.add.at(total, inverse[at : at + n], unpack_ints(seen[i].as_py()))
+        at += n
+    return [names[i] for i in order], sizes, uniq, first, inverse, total
+
+
+def handed_back(names: list[str], sizes: list[int], shard: int, back: np.ndarray) -> pa.Table:
     out, at = [], 0
-    for p in parts:
-        out.append(pack_ints(back[at : at + len(p)]))
-        at += len(p)
+    for n in sizes:
+        out.append(pack_ints(back[at : at + n]))
+        at += n
     trim()
     return pa.table({"block": pa.array(names, pa.string()), "shard": pa.array([shard] * len(names), pa.int64()), "totals": pa.array(out, pa.binary())})
 
@@ -313,11 +340,13 @@ def totals(asked: DataFrame, shards: int, n_blocks: int, elect: bool = False, fa
     if shards <= here:
 
         def run(group: pa.Table) -> pa.Table:
-            names, parts, _, first, inverse, total = merged(group)
-            back = 2 * total[inverse]
+            names, sizes, _, first, inverse, total = merged(group)
+            total *= np.uint64(2)
+            back = total[inverse]
+            del inverse, total
             if elect:
                 back[first] += np.uint64(1)
-            return handed_back(names, parts, group.column("shard")[0].as_py(), back)
+            return handed_back(names, sizes, group.column("shard")[0].as_py(), back)
 
         return asked.groupBy("shard").applyInArrow(run, ANSWER)
     teams, per = -(-n_blocks // fan), min(fan, -(-shards // here))
@@ -327,12 +356,12 @@ def totals(asked: DataFrame, shards: int, n_blocks: int, elect: bool = False, fa
         return pa.table(sliced(f"{here}-{group.column('team')[0].as_py()}", uniq, total, here * per))
 
     def spread(left: pa.Table, right: pa.Table) -> pa.Table:
-        names, parts, _, first, inverse, _ = merged(left)
+        names, sizes, _, first, inverse, _ = merged(left)
         got = dict(zip(right.column("shard").to_pylist(), right.column("totals").to_pylist(), strict=True))
         known = unpack_all([got[k] for k in sorted(got)])
         back = known[inverse] & ~np.uint64(1)
         back[first] += known & np.uint64(1)
-        return handed_back(names, parts, left.column("shard")[0].as_py(), back)
+        return handed_back(names, sizes, left.column("shard")[0].as_py(), back)
 
     dealt = asked.withColumn("team", F.pmod(F.xxhash64("block"), F.lit(teams)))
     above = totals(dealt.groupBy("shard", "team").applyInArrow(team_up, ASKED), shards, teams, elect, fan, here * per)

@@ -29,7 +29,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from splatframe.llm.common import Blocks, answered, ask, free_name, grouped, shards_for, steady, table, text_bytes, text_total, totals, with_row_key, written
+from splatframe.llm.common import Blocks, answered, ask, discard, free_name, grouped, shards_for, steady, table, text_bytes, text_total, totals, with_row_key, written
 from splatframe.llm.cover import Fingerprints, difference_cover
 
 LENGTH = 400
@@ -85,6 +85,11 @@ def distinct(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nd
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """Per row: n_bytes, n_removed, n_spans, kept_sha256, and the removed spans in bytes."""
+    return found_repeats(docs, length)[0]
+
+
+def found_repeats(docs: DataFrame, length: int) -> tuple[DataFrame, DataFrame]:
+    """remove_repeats() and the table of written() that it reads."""
     v, need = modulus(length), length - modulus(length) + 1
     block_bytes, tied_bytes = (max(1 << 18, size * min(length, LENGTH) // LENGTH) for size in (BLOCK_BYTES, TIED_BYTES))
 
@@ -164,7 +169,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     done = rows.filter("text is null").select("doc_id", "n_bytes", F.lit(0).cast("long").alias("n_removed"), F.lit(0).cast("long").alias("n_spans"), F.col("sha256").alias("kept_sha256"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("spans"))
     shards = shards_for(n_tied, 0.8)
     again = totals(ask(open_, window_keys, shards), shards, n_tied // tied_bytes + 1)
-    return done.unionByName(answered(open_, again, cut, RESULT))
+    return done.unionByName(answered(open_, again, cut, RESULT)), rows
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, least_words: int = 0) -> DataFrame:
@@ -176,7 +181,10 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, least_words: int = 0)
     """
     keyed, key = with_row_key(docs)
     cuts_at = free_name(keyed, "_spans")
-    spans = remove_repeats(keyed.select(F.col(key).alias("doc_id"), "text"), length).filter("n_removed > 0").select(F.col("doc_id").alias(key), F.col("spans").alias(cuts_at))
+    found, scratch = found_repeats(keyed.select(F.col(key).alias("doc_id"), "text"), length)
+    # written, so that the steps' shuffles and scratch texts are gone before texts are shuffled to meet their spans
+    spans = written(found.filter("n_removed > 0").select(F.col("doc_id").alias(key), F.col("spans").alias(cuts_at)))
+    discard(scratch)
     joined = keyed.join(spans, key, "left")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

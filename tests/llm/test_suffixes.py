@@ -2,13 +2,15 @@
 
 import hashlib
 import random
+import time
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pytest
 
 from splatframe.llm import cover, suffixes
-from splatframe.llm.common import Blocks, ask, pack_ints, pack_sorted, splitmix, steady, totals, unpack_ints
+from splatframe.llm.common import BATCH_BYTES, Blocks, ask, pack_ints, pack_sorted, splitmix, steady, totals, unpack_ints, written
 from splatframe.llm.cover import difference_cover
 
 
@@ -89,3 +91,47 @@ def test_counts_in_levels_are_the_same(spark, tmp_path, shards):
     assert {b: [x >> 1 for x in v] for b, v in one.items()} == {b: [x >> 1 for x in v] for b, v in many.items()}
     assert sum(x & 1 for v in one.values() for x in v) == sum(x & 1 for v in many.values() for x in v) == 97
     assert len(one) > 20 and spark.range(3).count() == 3
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    out = set()
+    while found.hasNext():
+        if (f := found.next()).getName().endswith(".data"):
+            out.add(f.getName())
+    return out
+
+
+def test_shuffles_and_scratch_texts_go_once_a_table_is_written(spark):
+    """They took disk beside the next step's until the driver collected its garbage."""
+    key, before = "spark.sql.classic.shuffleDependency.fileCleanup.enabled", shuffle_files(spark)
+    held = spark.conf.get(key)
+    table = written(spark.range(0, 5000, 1, 3).selectExpr("id % 700 as k").groupBy("k").count())
+    for _ in range(50):
+        if not (more := shuffle_files(spark) - before):
+            break
+        time.sleep(0.1)
+    assert not more and spark.conf.get(key) == held and table.count() == 700
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://"))
+    scratch = set(shared.glob("scratch-*"))
+    df = spark.createDataFrame([(i, chr(65 + i) + " repeated words" * 9) for i in range(20)], "doc_id long, text string")
+    out = suffixes.without_repeats(written(df), 40)
+    left = [x for x in set(shared.glob("scratch-*")) - scratch if "sha256" in str(spark.read.parquet(f"file://{x}").columns)]
+    assert not left and {r.text.strip() for r in out.collect()} == {chr(65 + i) for i in range(20)}
+
+
+def test_batches_with_texts_are_bounded_by_bytes(spark, tmp_path):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = spark.conf.get(key)
+    try:
+        spark.range(0, 4000, 1, 1).selectExpr("id as doc_id", "repeat('x', 10000) as text").write.parquet(f"file://{tmp_path}/t")
+        blocks = Blocks(steady(spark.read.parquet(f"file://{tmp_path}/t")), 1 << 20)
+        spark.conf.set(key, str(64 << 20))
+        assert blocks.rows().count() == 39
+        most = blocks.docs.mapInPandas(lambda frames: (f.agg({"doc_id": ["count"]}).set_axis(["n"], axis=1) for f in frames), "n long").agg({"n": "max"}).first()[0]
+        assert most * 10000 < BATCH_BYTES + 20000
+        spark.conf.set(key, "1m")
+        blocks.rows()
+        assert spark.conf.get(key) in ("1m", "1048576", "1048576b")
+    finally:
+        spark.conf.set(key, held)
