@@ -42,6 +42,41 @@ def test_repeats_are_removed_exactly(spark, length):
     assert sorted((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got.collect()) == slow(rows, length)
 
 
+@pytest.mark.parametrize(("length", "least"), [(41, 20), (41, 3), (20, 20)])
+def test_passages_and_what_is_removed_are_judged_apart(spark, length, least):
+    rnd = random.Random(length + least)
+    passages = ["".join(rnd.choice("abcdé  ") for _ in range(rnd.randrange(least - 2, 2 * length))) for _ in range(9)]
+    rows = [(0, None), (1, ""), (2, "z" * (least - 1)), (3, "a b" * length), (4, "y " * (length // 2)), (5, "y " * (length // 2))]
+    for i in range(6, 60):
+        rows.append((i, "".join(rnd.choice([*passages, "".join(rnd.choice("efghij ") for _ in range(2 * length))]) for _ in range(rnd.randrange(1, 5)))))
+    rows += [(60, rows[20][1]), (60, rows[20][1]), (None, rows[21][1])]
+    seen, want = Counter(b[k : k + least] for _, t in rows for b in [(t or "").encode()] for k in range(len(b) - least + 1)), []
+    for i, t in rows:
+        b, gone = (t or "").encode(), []
+        gone = [any(seen[b[k : k + least]] > 1 for k in range(max(0, j - least + 1), min(j, len(b) - least) + 1)) for j in range(len(b))]
+        found = [b[s:e] for s, e in suffixes.runs(np.array(gone, bool))]
+        want.append((repr(i), sum(len(x.split()) >= 4 for x in found), sum(len(x) for x in found if len(x.split()) >= 4)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = suffixes.remove_repeats(df, length, (least, 4)).collect()
+    assert sorted((repr(r.doc_id), r.n_passages, r.passage_bytes) for r in got) == sorted(want)
+    plain = [(-1 if i is None else i, t) for i, t in rows]
+    assert sorted((-1 if r.doc_id is None else r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got) == slow(plain, length)
+    assert suffixes.remove_repeats(df.limit(0), length, (least, 4)).count() == 0
+
+
+def test_query_counts_passages_of_over_50_words_below_400_bytes(spark, tmp_path):
+    """They are left by the contract's columns, which speak of strings of 400 bytes, and counted beside them."""
+    rnd = random.Random(5)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(5)) for _ in range(n))
+    short, line, long = words(55), words(30), words(90)
+    texts = [f"{words(40)} {p} {words(40)}" for p in (short, short, line, line, long, long)] + [words(120), None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    got = sorted(suffixes.query(spark, f"file://{tmp_path}").collect())
+    assert [(r.n_removed > 0, r.n_passages) for r in got] == [(False, 1)] * 2 + [(False, 0)] * 2 + [(True, 1)] * 2 + [(False, 0)] * 2
+    assert all(len(short) <= r.passage_bytes <= len(short) + 4 for r in got[:2]) and got[4].passage_bytes == got[4].n_removed
+    assert [tuple(r)[:5] for r in got] == slow(list(enumerate(texts)), 400)
+
+
 def test_empty_table_and_cut_texts(spark):
     df = spark.createDataFrame([(1, "a" * 30 + "bcdefé", 0), (2, "x" + "a" * 12, 0), (3, None, 0)], "doc_id long, text string, n_chars long")
     assert suffixes.remove_repeats(df.limit(0), 10).count() == 0
